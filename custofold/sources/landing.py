@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.functions.text import blank_default
 from custofold.schemas import DATASETS, LANDING, TAG, Tags
 from custofold.sources.store import Store
 
@@ -20,9 +19,12 @@ def read_landing(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in its order; a column the frame lacks becomes a typed NULL."""
-    return df.select(
+    given = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"`{f.name}`"
+            if given.get(f.name) == f.dataType
+            else f"CAST({f'`{f.name}`' if f.name in given else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in schema.fields
         ]
     )
@@ -56,9 +58,8 @@ def split_by_tag(
     rows = df.where(F.col(tag_column) == tag)
     for name in spec.required:
         rows = rows.where(F.col(name).isNotNull())
-    return rows.select(
-        *[(blank_default(c) if c in spec.blanked else F.col(c)).alias(c) for c in spec.columns]
-    )
+    rows = rows.select(*spec.columns)
+    return rows.na.fill("", list(spec.blanked)) if spec.blanked else rows
 
 
 def split_all(df: DataFrame, tags: Tags) -> Mapping[str, DataFrame]:
