@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import Tables, query, scratch
-from custofold.operators import Lookup, reconcile_landing
+from custofold.operators import Lookup, reconcile_all
 from custofold.plans import BatchConfig, document_values, fold_values, run
 from custofold.plans import sections as s
+from custofold.plans.batch import store_datasets
 from custofold.plans.document import section_arrays
 from custofold.schemas import DOC_KEY, LANDING, TAG, Tags
-from custofold.sources import Store, conform, split_all
+from custofold.sources import Store, conform
 
 TAGS = Tags()
 START = "1995-01-01T00:00:00"
@@ -156,7 +157,7 @@ def value_sets(t: Tables) -> DataFrame:
 
 def datasets(t: Tables) -> Mapping[str, DataFrame]:
     """The nine datasets of the reconciled batch."""
-    return split_all(reconcile_landing(landing(t), TAGS["relationship"]), TAGS)
+    return reconcile_all(landing(t), TAGS)
 
 
 # ------------------------------------------------------------------ the same in SQL
@@ -426,7 +427,8 @@ def _register(name: str) -> None:
     @query(f"section_{name.lower()}", sql)
     def _(t: Tables) -> DataFrame:
         rows = SECTION_FRAME[name](datasets(t), Lookup.of(value_sets(t)))
-        got = section_arrays(rows, name)
+        # Stored once, as in a batch run: gathering reads its input twice.
+        got = section_arrays(Store(t.spark, scratch(t.spark)).materialize(rows, name), name)
         return got.select("CUSTOMER_ID", "SRC_SYS_INST_ID", _value_text(got, name).alias(name))
 
 
@@ -475,15 +477,25 @@ def _(t: Tables) -> DataFrame:
         UNION ALL SELECT 'agreement', CAST(o_custkey AS VARCHAR), 'IN', {TS.format('o_orderdate')}, CAST(o_orderkey AS VARCHAR) FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
-    kept = reconcile_landing(landing(t), TAGS["relationship"])
+    data = datasets(t)
     ends = F.concat("CUSTOMER_ID_1", F.lit(">"), "CUSTOMER_ID_2")
-    return kept.where(F.col(TAG).isin("individual", "relationship", "email", "agreement")).select(
-        F.col(TAG).alias("tag"),
-        F.coalesce("CUSTOMER_ID", ends).alias("id"),
-        F.col("SRC_EVT_TYP_FLG").alias("flag"),
-        F.col("SRC_EXTRACT_TS").alias("ts"),
-        F.coalesce("CUSTOMER_SURNAME", "REL_TYPE", "E_ADDR_TYPE", "ACCOUNT_NO").alias("detail"),
-    )
+    detail = {
+        "individual": ("CUSTOMER_ID", "CUSTOMER_SURNAME"),
+        "relationship": (ends, "REL_TYPE"),
+        "email": ("CUSTOMER_ID", "E_ADDR_TYPE"),
+        "agreement": ("CUSTOMER_ID", "ACCOUNT_NO"),
+    }
+    frames = [
+        data[name].select(
+            F.lit(name).alias("tag"),
+            (F.col(key) if isinstance(key, str) else key).alias("id"),
+            F.col("SRC_EVT_TYP_FLG").alias("flag"),
+            F.col("SRC_EXTRACT_TS").alias("ts"),
+            F.col(text).alias("detail"),
+        )
+        for name, (key, text) in detail.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 ARRAYS = list(SECTION_SQL)
@@ -511,8 +523,8 @@ def document_text(docs: DataFrame) -> DataFrame:
 def customer_document(t: Tables) -> DataFrame:
     """Reconcile, split, sections, fold: documents with the two stored steps of a batch run."""
     store = Store(t.spark, scratch(t.spark))
-    unique = store.materialize(reconcile_landing(landing(t), TAGS["relationship"]), "unique", [TAG])
-    values = store.materialize(document_values(split_all(unique, TAGS), Lookup.of(value_sets(t))), "partial")
+    data = store_datasets(store, landing(t), TAGS, "unique")
+    values = store.materialize(document_values(data, Lookup.of(value_sets(t))), "partial")
     return document_text(fold_values(values))
 
 

@@ -5,7 +5,7 @@ from custofold.operators.enrich import merge_verified, request_key, verification
 from custofold.operators.lookup import Lookup, lookup, lookup_constant
 from custofold.operators.match import read_matching, with_match, without_match
 from custofold.operators.pick import latest_by, priority_pick
-from custofold.operators.reconcile import event_counts, reconcile, reconcile_landing
+from custofold.operators.reconcile import event_counts, reconcile, reconcile_all, reconcile_dataset
 from custofold.operators.reshape import (
     edges_both_ends,
     edges_oriented,
@@ -35,7 +35,8 @@ __all__ = [
     "priority_pick",
     "read_matching",
     "reconcile",
-    "reconcile_landing",
+    "reconcile_all",
+    "reconcile_dataset",
     "relation_types",
     "request_key",
     "stack_values",

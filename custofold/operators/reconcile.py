@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from custofold.functions.time import parse_ts
 from custofold.operators.pick import latest_by
-from custofold.schemas import EXTRACT_TS, FLAG, INSERT_FLAG, RECORD_KEY, RELATION_KEY, TAG
+from custofold.schemas import (
+    CHANGED,
+    DATASETS,
+    EXTRACT_TS,
+    FLAG,
+    INSERT_FLAG,
+    INSERTED,
+    KIND,
+    RELATION_KEY,
+    TAG,
+    Tags,
+)
+from custofold.sources.landing import dataset_columns
 
 
 def event_counts(df: DataFrame, keys: Sequence[str], out: str = "CNT") -> DataFrame:
@@ -17,6 +29,12 @@ def event_counts(df: DataFrame, keys: Sequence[str], out: str = "CNT") -> DataFr
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
+def _merge(
+    inserts: DataFrame, changes: DataFrame, keys: Sequence[str], time: Sequence[str | Column], ties: Sequence[str] | None
+) -> DataFrame:
+    return inserts.distinct().unionByName(latest_by(changes, keys, time, ties))
+
+
 def reconcile(
     df: DataFrame,
     keys: Sequence[str],
@@ -27,32 +45,31 @@ def reconcile(
 ) -> DataFrame:
     """All distinct inserts, plus the latest update or delete of every key. Rows without a flag are left out.
 
-    Both rules are one rank over one read of the batch. An insert competes only with its own copies, which
-    share the digest of the whole row; updates and deletes of a key compete by time. Every input partition
-    is cut to its winners before the shuffle, so neither copies of one record nor a busy key pile up.
+    Copies of an insert are removed inside every task before the shuffle, and the changes of a key are cut
+    to the latest one per task, so neither a record sent many times nor a busy key piles up.
     NULL key parts are equal to each other.
     """
-    # A 256-bit digest stands for the row: carrying the row itself a second time would double the shuffle.
-    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
-    marked = df.where(F.col(flag).isNotNull()).withColumn(
-        "__copy", F.when(F.col(flag) == insert, digest)
-    )
-    ties = ties if ties is not None else sorted(c for c in df.columns if c not in keys)
-    return latest_by(marked, [*keys, "__copy"], list(time), ties).drop("__copy")
+    return _merge(df.where(F.col(flag) == insert), df.where(F.col(flag) != insert), keys, time, ties)
 
 
-def reconcile_landing(df: DataFrame, relationship_tag: str) -> DataFrame:
-    """``reconcile`` for the mixed landing batch.
+def reconcile_dataset(df: DataFrame, dataset: str, tag: str) -> DataFrame:
+    """One dataset of the mixed batch, reconciled.
 
-    Records are known by customer, system, instance and tag. A relationship has no customer of its own, so
-    its two ends and its type join the key; for the other datasets these parts are NULL.
+    Only the dataset's own columns travel: a landing row is some seventy columns wide, most of them empty.
+    Records are known by customer, system and instance; a relationship has no customer of its own and is
+    known by its two ends and its type. A staged batch (with ``CHANGE_KIND``) is read partition by partition.
     """
-    own = F.col(TAG) == relationship_tag
-    parts = {f"__{c}": F.when(own, F.col(c)) for c in RELATION_KEY}
-    kept = reconcile(
-        df.withColumns(parts),
-        [*RECORD_KEY, *parts],
-        [parse_ts(EXTRACT_TS), EXTRACT_TS],
-        ties=sorted(c for c in df.columns if c not in RECORD_KEY),
-    )
-    return kept.drop(*parts)
+    own = RELATION_KEY if dataset == "relationship" else ("CUSTOMER_ID",)
+    keys = [*own, "SRC_SYS_ID", "SRC_SYS_INST_ID"]
+    columns = list(dict.fromkeys([*DATASETS[dataset].columns, *keys, FLAG, EXTRACT_TS]))
+    rows = df.where(F.col(TAG) == tag)
+    inserts, changes = rows.where(F.col(FLAG) == INSERT_FLAG), rows.where(F.col(FLAG) != INSERT_FLAG)
+    if KIND in df.columns:
+        inserts, changes = inserts.where(F.col(KIND) == INSERTED), changes.where(F.col(KIND) == CHANGED)
+    kept = _merge(inserts.select(*columns), changes.select(*columns), keys, [parse_ts(EXTRACT_TS), EXTRACT_TS], None)
+    return dataset_columns(kept, dataset)
+
+
+def reconcile_all(df: DataFrame, tags: Tags) -> dict[str, DataFrame]:
+    """All nine datasets of the batch, reconciled."""
+    return {name: reconcile_dataset(df, name, tags[name]) for name in DATASETS}

@@ -19,7 +19,6 @@ EXTRACT_TS = "SRC_EXTRACT_TS"
 INSERT_FLAG = "IN"
 
 DOC_KEY = ("CUSTOMER_ID", "SRC_SYS_INST_ID", "SRC_SYS_ID")
-RECORD_KEY = ("CUSTOMER_ID", "SRC_SYS_ID", "SRC_SYS_INST_ID", TAG)
 RELATION_KEY = ("CUSTOMER_ID_1", "CUSTOMER_ID_2", "REL_TYPE")
 
 INDIVIDUAL_PLAIN = "CUSTOMER_ID SRC_EVT_TYP_FLG SRC_EXTRACT_TS SRC_SYS_ID SRC_SYS_INST_ID".split()
@@ -97,6 +96,11 @@ DATASETS: dict[str, Dataset] = {
 
 LANDING = strings(dict.fromkeys([TAG, *(c for d in DATASETS.values() for c in d.columns)]))
 
+# A staged batch carries one more column, by which (and by the tag) its files are partitioned.
+KIND = "CHANGE_KIND"
+INSERTED, CHANGED = "insert", "change"
+STAGED = T.StructType([*LANDING.fields, T.StructField(KIND, T.StringType())])
+
 LOOKUP = strings(["VALUE_SET_NAME", "COLUMN_1_STRING_VALUE", "VSL_LKP_VALUE", "OUT_ACTION_CODE"])
 
 AUDIT = T.StructType(

@@ -3,6 +3,7 @@
 from custofold.sources.audit import audit_append, audit_rows, section_statuses
 from custofold.sources.landing import (
     conform,
+    dataset_columns,
     empty_dataset,
     read_landing,
     reset_stage,
@@ -18,6 +19,7 @@ __all__ = [
     "audit_append",
     "audit_rows",
     "conform",
+    "dataset_columns",
     "empty_dataset",
     "publish",
     "publish_payload",

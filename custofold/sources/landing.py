@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.schemas import DATASETS, LANDING, TAG, Tags
+from custofold.schemas import CHANGED, DATASETS, FLAG, INSERT_FLAG, INSERTED, KIND, LANDING, STAGED, TAG, Tags
 from custofold.sources.store import Store
 
 
@@ -39,29 +37,34 @@ def stage_batch(store: Store, batch: DataFrame, table: str) -> DataFrame:
     """Add the batch's tagged records to the stage and return all that is staged.
 
     The stage still holds what a failed run left behind, so nothing is lost and nothing is taken twice.
+    Files are partitioned by tag and by insert or change: each later read opens only what it needs.
     """
-    store.append(conform(batch, LANDING).where(F.col(TAG).isNotNull()), table)
-    return store.read(table)
+    inserted = F.col(FLAG) == INSERT_FLAG
+    kind = F.when(inserted, INSERTED).when(~inserted, CHANGED)
+    rows = conform(batch, LANDING).where(F.col(TAG).isNotNull()).withColumn(KIND, kind)
+    store.append(rows, table, [TAG, KIND])
+    return store.read(table, STAGED)
 
 
-def reset_stage(store: Store, *tables: str) -> None:
-    """Empty the tables; their columns stay."""
-    for table in tables:
-        store.clear(table)
+def reset_stage(store: Store, table: str) -> None:
+    """Empty the stage; called once the documents of all its records are stored."""
+    store.clear(table, STAGED, [TAG, KIND])
 
 
-def split_by_tag(
-    df: DataFrame, dataset: str, tag: str, tag_column: str = TAG
-) -> DataFrame:
-    """One dataset of the mixed batch: rows with its tag, its columns, its blank defaults."""
+def dataset_columns(rows: DataFrame, dataset: str) -> DataFrame:
+    """The columns of a dataset with its blank defaults; rows without a required value are left out."""
     spec = DATASETS[dataset]
-    rows = df.where(F.col(tag_column) == tag)
     for name in spec.required:
         rows = rows.where(F.col(name).isNotNull())
     rows = rows.select(*spec.columns)
     return rows.na.fill("", list(spec.blanked)) if spec.blanked else rows
 
 
-def split_all(df: DataFrame, tags: Tags) -> Mapping[str, DataFrame]:
+def split_by_tag(df: DataFrame, dataset: str, tag: str) -> DataFrame:
+    """One dataset of the mixed batch: the rows with its tag, in its columns."""
+    return dataset_columns(df.where(F.col(TAG) == tag), dataset)
+
+
+def split_all(df: DataFrame, tags: Tags) -> dict[str, DataFrame]:
     """All nine datasets by name."""
     return {name: split_by_tag(df, name, tags[name]) for name in DATASETS}

@@ -97,10 +97,9 @@ class Store:
         self._write(df, table, "overwrite", new, partition_by)
         self._commit(table, new)
 
-    def clear(self, table: str) -> None:
-        """No rows, same columns."""
-        rows = self.read(table)
-        self.overwrite(self.spark.createDataFrame([], rows.schema), table)
+    def clear(self, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+        """A truly empty table: no rows and no placeholder that later batches would have to skip."""
+        self.overwrite(self.spark.createDataFrame([], schema), table, partition_by)
 
     def expire(self, table: str, keep: int = 1, look_back: int = 2) -> None:
         """Free the space of the ``look_back`` versions before the last ``keep``; their folders stay, empty.
