@@ -32,11 +32,21 @@ def unpivot_typed(
     return df.select(*kept, F.explode(F.array(*cells)).alias("__cell")).select(*kept, "__cell.*")
 
 
-def edges_within(edges: DataFrame, id1: str, id2: str, known1: DataFrame, known2: DataFrame | None = None) -> DataFrame:
-    """Distinct edges whose two ends both occur in the one-column frames of known ids."""
+def edges_within(
+    edges: DataFrame,
+    id1: str,
+    id2: str,
+    known1: DataFrame,
+    known2: DataFrame | None = None,
+    distinct: bool = True,
+) -> DataFrame:
+    """Distinct edges whose two ends both occur in the one-column frames of known ids.
+
+    ``distinct=False`` saves a shuffle where a later step removes copies anyway.
+    """
     known2 = known1 if known2 is None else known2
-    first = with_match(edges, known1.toDF(id1), [id1])
-    return with_match(first, known2.toDF(id2), [id2]).distinct()
+    both = with_match(with_match(edges, known1.toDF(id1), [id1]), known2.toDF(id2), [id2])
+    return both.distinct() if distinct else both
 
 
 def edges_oriented(edges: DataFrame, id1: str, id2: str, kind: str, as_is: Sequence[str], swapped: Sequence[str]) -> DataFrame:

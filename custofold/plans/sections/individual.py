@@ -84,7 +84,6 @@ def relation_kinds(data: Mapping[str, DataFrame]) -> DataFrame:
         data["relationship"]
         .where(F.col("REL_TYPE").isin(*ORGANISATION_TYPES, *SWAPPED_TYPES))
         .select("CUSTOMER_ID_1", "CUSTOMER_ID_2", F.col("REL_TYPE").alias("RL_TP_ID"))
-        .distinct()
     )
     pairs = edges_both_ends(
         with_match(edges, known, ["CUSTOMER_ID_2"]), "CUSTOMER_ID_1", "CUSTOMER_ID_2", "CUSTOMER_ID"

@@ -27,7 +27,7 @@ def individual_relations(data: Mapping[str, DataFrame], table: Lookup) -> DataFr
     ids = data["individual"].select("CUSTOMER_ID")
     edges = data["relationship"].where(F.col("REL_TYPE") == INDIVIDUAL_TYPE).select(*EDGE)
     rows = edges_both_ends(
-        edges_within(edges, "CUSTOMER_ID_1", "CUSTOMER_ID_2", ids),
+        edges_within(edges, "CUSTOMER_ID_1", "CUSTOMER_ID_2", ids, distinct=False),
         "CUSTOMER_ID_1", "CUSTOMER_ID_2", "CUSTOMER_ID", distinct=False,
     )
     rows = lookup_constant(rows, table, RELATION_SET, INDIVIDUAL_TYPE, "RL_TP_ID")
