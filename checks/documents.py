@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import Tables, query, scratch
-from custofold.operators import Lookup, reconcile_all
+from custofold.operators import Lookup, reconcile_dataset
 from custofold.plans import BatchConfig, document_values, fold_values, run
 from custofold.plans import sections as s
 from custofold.plans.batch import store_datasets
 from custofold.plans.document import section_arrays
-from custofold.schemas import DOC_KEY, LANDING, TAG, Tags
+from custofold.schemas import DATASETS, DOC_KEY, LANDING, TAG, Tags
 from custofold.sources import Store, conform
 
 TAGS = Tags()
@@ -50,14 +50,14 @@ def _records(df: DataFrame, tag: str, customer: Column | None, time: Column, fla
     return conform(df.select(*[c.alias(name) for name, c in base.items()]), LANDING)
 
 
-def landing(t: Tables) -> DataFrame:
-    """The mixed batch: one frame, all nine datasets."""
+def records(t: Tables, dataset: str) -> list[DataFrame]:
+    """The landing records of one dataset."""
     c, o, e, li, su = t.customer, t.orders, t.events, t.lineitem, t.supplier
     segment, nation, key = F.col("c_mktsegment"), _text("c_nationkey"), _text("c_custkey")
     brand = F.when(segment != "FURNITURE", F.substring(segment, 1, 2))
     order, priority = _text("o_orderkey"), F.col("o_orderpriority")
     status = F.col("o_orderstatus")
-    frames = [
+    makers = {"individual": lambda: [
         _records(
             c, TAGS["individual"], key, F.lit(START),
             CUSTOMER_TITLE=F.concat(F.lit(" "), F.nullif(segment, F.lit("BUILDING"))),
@@ -88,14 +88,17 @@ def landing(t: Tables) -> DataFrame:
             LAST_CHNG_DATE=F.date_format("o_orderdate", "yyyy-MM-dd"),
             CTRY_OF_NATIONALTY=F.substring(priority, 1, 1),
         ),
+    ], "gurn": lambda: [
         _records(o.where((status == "F") & (priority == "1-URGENT")), TAGS["gurn"], _text("o_custkey"), F.lit(START),
                  GURN=F.concat(F.lit(" G"), order)),
+    ], "email": lambda: [
         _records(
             e, TAGS["email"], _text("user_id"), F.date_format("ts", "yyyy-MM-dd'T00:00:00'"),
             SRC_SYS_INST_ID=F.when(F.col("event_type") == "error", "TEST").otherwise("LIVE"),
             E_ADDR_TYPE=F.col("event_type"),
             E_ADDR=F.concat(F.lit(" "), "event_type", F.lit("."), _text("user_id"), F.lit("@mail ")),
         ),
+    ], "relationship": lambda: [
         _records(
             li, TAGS["relationship"], None, _time("l_shipdate"),
             CUSTOMER_ID_1=_text("l_suppkey"),
@@ -103,25 +106,50 @@ def landing(t: Tables) -> DataFrame:
             REL_TYPE=F.when(F.col("l_returnflag") == "A", "SB").when(F.col("l_returnflag") == "N", "OO").otherwise("ZB"),
             DATE_CREATED=F.date_format("l_shipdate", "yyyy-MM-dd"),
         ),
+    ], "street_address": lambda: [
         _records(c, TAGS["street_address"], key, F.lit(START),
                  CUSTOMER_ADDR_NO=F.lit("2"), ADDRESS_LINE_1=F.concat(F.lit(" "), "c_name"),
                  ADDRESS_LINE_2=nation, POSTCODE=segment),
         _records(su, TAGS["street_address"], _text("s_suppkey"), F.lit(START),
                  CUSTOMER_ADDR_NO=F.lit("1"), ADDRESS_LINE_1=F.col("s_name"), ADDRESS_LINE_5=_text("s_nationkey")),
+    ], "agreement": lambda: [
         _records(o, TAGS["agreement"], _text("o_custkey"), _time("o_orderdate"),
                  CUST_ADDR_STATUS=F.when(status == "F", "C").when(status == "O", "A").otherwise("R"), ACCOUNT_NO=order),
+    ], "tax_residence": lambda: [
         _records(o, TAGS["tax_residence"], _text("o_custkey"), _time("o_orderdate"),
                  CTRY_OF_TAXATION=F.substring(priority, 1, 1), TAX_CRE_TIMESTAMP=order),
+    ], "citizenship": lambda: [
         _records(su, TAGS["citizenship"], _text("s_suppkey"), F.lit("1996-06-01T00:00:00"),
                  ADDNL_CITIZENSHIP=_text("s_nationkey")),
+    ], "indicators": lambda: [
         _records(
             e, TAGS["indicators"], _text("user_id"), F.date_format("ts", "yyyy-MM-dd'T00:00:00'"),
             UPDATE_DATE_TIME=F.date_format("ts", "yyyy-MM-dd"),
             INDICATOR_TYPE=F.when(F.col("event_type").isin("purchase", "view"), "PEP").otherwise("OTHER"),
             INDICATOR_VALUE=F.when(F.col("event_type") == "view", "N").otherwise("Y "),
         ),
-    ]
-    return reduce(DataFrame.unionByName, frames)
+    ]}
+    return makers[dataset]()
+
+
+def landing(t: Tables) -> DataFrame:
+    """The mixed batch: one frame, all nine datasets."""
+    return reduce(DataFrame.unionByName, [frame for name in DATASETS for frame in records(t, name)])
+
+
+class Batch(dict):
+    """The nine datasets of the reconciled batch, each built when a section asks for it."""
+
+    def __init__(self, t: Tables):
+        super().__init__()
+        self.t = t
+
+    def __missing__(self, name: str) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, records(self.t, name))
+        self[name] = reconcile_dataset(rows, name, TAGS[name])
+        return self[name]
+
+
 
 
 def value_sets(t: Tables) -> DataFrame:
@@ -155,11 +183,6 @@ def value_sets(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def datasets(t: Tables) -> Mapping[str, DataFrame]:
-    """The nine datasets of the reconciled batch."""
-    return reconcile_all(landing(t), TAGS)
-
-
 # ------------------------------------------------------------------ the same in SQL
 
 TS = "strftime({}, '%Y-%m-%dT%H:%M:%S')"
@@ -426,7 +449,7 @@ def _register(name: str) -> None:
 
     @query(f"section_{name.lower()}", sql)
     def _(t: Tables) -> DataFrame:
-        rows = SECTION_FRAME[name](datasets(t), Lookup.of(value_sets(t)))
+        rows = SECTION_FRAME[name](Batch(t), Lookup.of(value_sets(t)))
         # Stored once, as in a batch run: gathering reads its input twice.
         got = section_arrays(Store(t.spark, scratch(t.spark)).materialize(rows, name), name)
         return got.select("CUSTOMER_ID", "SRC_SYS_INST_ID", _value_text(got, name).alias(name))
@@ -451,7 +474,7 @@ def address_text() -> Column:
     f"""WITH {INDIVIDUALS}, {VSL} SELECT id AS "CUSTOMER_ID", v AS address FROM ({ADDRESS_SQL}) a""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = s.source_address(datasets(t), Lookup.of(value_sets(t)))
+    rows = s.source_address(Batch(t), Lookup.of(value_sets(t)))
     return rows.select("CUSTOMER_ID", address_text().alias("address"))
 
 
@@ -463,7 +486,7 @@ def _(t: Tables) -> DataFrame:
         FROM ({BASE_SQL}) b""",
 )
 def _(t: Tables) -> DataFrame:
-    return s.individual_base(datasets(t)).select(
+    return s.individual_base(Batch(t)).select(
         "CUSTOMER_ID", "SRC_EVT_TYP_FLG", "CRT_DT", "FULL_NM", "BANK_ID", "SALUTATION_NM", "CNTRY_OF_RISK_ID"
     )
 
@@ -477,7 +500,7 @@ def _(t: Tables) -> DataFrame:
         UNION ALL SELECT 'agreement', CAST(o_custkey AS VARCHAR), 'IN', {TS.format('o_orderdate')}, CAST(o_orderkey AS VARCHAR) FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
-    data = datasets(t)
+    data = Batch(t)
     ends = F.concat("CUSTOMER_ID_1", F.lit(">"), "CUSTOMER_ID_2")
     detail = {
         "individual": ("CUSTOMER_ID", "CUSTOMER_SURNAME"),
