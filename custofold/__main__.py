@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: ``python -m custofold INPUT --base FOLDER [--tag dataset=TAG ...]``."""
+"""Command line: ``python -m custofold INPUT --base FOLDER [--tag dataset=TAG ...]``."""
 
 from __future__ import annotations
 

@@ -76,7 +76,8 @@ class Store:
             return
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(self._folder(table, version))
+        # A session set to dynamic overwrite would keep stale partitions of a failed attempt.
+        writer.option("partitionOverwriteMode", "static").save(self._folder(table, version))
 
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Add rows to the current version; the first append creates the table."""
@@ -110,7 +111,12 @@ class Store:
         newest = (version or 0) - keep
         for old in range(max(0, newest - look_back + 1), newest + 1):
             folder = self._folder(table, old)
-            schema = self.spark.read.format(self.fmt).load(folder).schema
+            try:
+                schema = self.spark.read.format(self.fmt).load(folder).schema
+            except AnalysisException as e:
+                if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                    continue  # that version holds no files
+                raise
             self.spark.createDataFrame([], schema).write.format(self.fmt).mode("overwrite").save(folder)
 
     def materialize(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from custofold.__main__ import main
 from custofold.errors import NoRecords
 from custofold.operators import reconcile_all
 from custofold.plans import BatchConfig, run
@@ -54,6 +55,24 @@ def test_store_versions(spark, store):
     assert store.read("t").columns == ["id"] and store.read("t").count() == 0
 
 
+def test_partitions_of_a_failed_attempt_do_not_survive(spark, store):
+    spark.range(1).select("id", F.lit("stale").alias("p")).write.partitionBy("p").parquet(store._folder("t", 0))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.overwrite(spark.range(2).select("id", F.lit("new").alias("p")), "t", ["p"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert {r.p for r in store.read("t").collect()} == {"new"}
+
+
+def test_expiring_a_version_without_files(spark, store):
+    schema = spark.createDataFrame([], "id long, p string").schema
+    store.clear("t", schema, ["p"])
+    store.overwrite(spark.createDataFrame([(1, "a")], schema), "t", ["p"])
+    store.expire("t")
+    assert store.read("t").count() == 1
+
+
 def test_failed_overwrite_changes_nothing(spark, store):
     store.append(spark.range(3), "t")
     with pytest.raises(Exception, match="boom"):
@@ -166,6 +185,13 @@ def test_run_twice(spark, store, tmp_path):
             ("NO_RECORDS", "PASSPORT"), ("SUCCESS", "batch stored")} <= audit
 
 
+def test_command_line(spark, store, tmp_path):
+    store.append(spark.createDataFrame(VALUE_SETS, LOOKUP), "codes")
+    path = write_json(tmp_path / "1.json", [{**r, TAG: "P"} for r in people("1")])
+    main([path, "--base", store.base, "--lookup", "codes", "--target", "out", "--tag", "individual=P"])
+    assert [r.CUSTOMER_ID for r in store.read("out").collect()] == ["1"]
+
+
 def test_failed_run_leaves_the_batch_staged(spark, store, tmp_path):
     one = write_json(tmp_path / "1.json", people("1"))
     with pytest.raises(LookupError):
