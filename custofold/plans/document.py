@@ -15,10 +15,6 @@ from custofold.schemas import DOC_KEY
 
 ADDRESS = "__address"
 NUMBERS, KINDS = "GURN", "RL_TP_ID"
-SECTIONS = (
-    "EMAIL", "PHONE", "PASSPORT", "CLASS", "IDVNATID", "IDVIDENT",
-    "RL_IDV", "IDVORG", "IDV_FLAG", "IDV_CNTRY", "IDV_SRC",
-)
 
 
 def section_frames(
