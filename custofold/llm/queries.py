@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import bpe, chat, lines
-from custofold.llm.common import documents_of
+from custofold.llm import bpe, chat, decontam, forest, langid, lines
+from custofold.llm.common import documents_of, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,44 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query(f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex({SQL_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+listed AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words),
+held AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM listed),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS total, count(*) AS c
+  FROM held a JOIN held b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common WHERE 100 * c >= 85 * (total - c)
+  UNION SELECT b, a FROM common WHERE 100 * c >= 85 * (total - c)),
+reached(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM listed
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.node = l.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
+FROM listed JOIN (SELECT doc_id, min(node) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)""")
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with three-word shingle sets of similarity 0.85 or more, linked into components."""
+    return forest.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+@query()
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages predicted by byte context trees learned from two thirds of the documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = in_fold("doc_id", 3, 1)
+    trees = langid.train(docs.where(~held_out))
+    scored = langid.predict(docs.select("doc_id", "text", held_out.alias("held_out")), trees)
+    return scored.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlaps of documents with benchmark items, tolerant of substituted words."""
+    return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
