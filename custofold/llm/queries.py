@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import bpe, chat, decontam, forest, langid, lines
+from custofold.llm import bpe, brown, chat, decontam, forest, langid, lines
 from custofold.llm.common import documents_of, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Overlaps of documents with benchmark items, tolerant of substituted words."""
     return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op3_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts scored by a class bigram model learned from four fifths of the documents, beside a unigram score."""
+    held_out = in_fold("doc_id", 5, 1)
+    return brown.score_documents(table(spark, folder, "documents"), ~held_out, held_out)
