@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import bpe, brown, chat, decontam, forest, langid, lines
+from custofold.llm import bpe, brown, chat, decontam, forest, langid, lines, toxicity
 from custofold.llm.common import documents_of, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,13 @@ def op3_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Texts scored by a class bigram model learned from four fifths of the documents, beside a unigram score."""
     held_out = in_fold("doc_id", 5, 1)
     return brown.score_documents(table(spark, folder, "documents"), ~held_out, held_out)
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts scored for toxicity, learned from three quarters of the labels."""
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held_out = in_fold("doc_id", 4, 2)
+    model = toxicity.train(docs.where(~held_out), labels.where(~held_out))
+    scored = toxicity.score(docs.withColumn("held_out", held_out), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
