@@ -21,28 +21,41 @@ from pyspark.sql import functions as F
 
 from custofold.llm.common import documents_of, stored
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
 RUNS = "array<struct<start:int,length:int>>"
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
+def lowered(text: Column) -> Column:
+    """A text that is equal for two texts if they are equal after lowering A-Z.
+
+    ``lower`` alone would also lower other letters. A text of ASCII only may use it; any other is read byte by
+    byte as Latin-1 first. There it lowers A-Z and lead bytes C0 to DE, which become E0 to FE; as the number of
+    continuation bytes still tells the two apart, different texts stay different.
+    """
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.lower(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")))
 
 
 def long_lines(text: Column, min_chars: int) -> Column:
     """Position and 128-bit key hash (``pos``, ``a``, ``b``) of every line whose key is long enough."""
 
-    def hashed(line: Column, pos: Column) -> Column:
-        key = line_key(line)
+    def key(line: Column) -> Column:
+        return F.when(F.octet_length(line) >= min_chars, F.btrim(line, F.lit(SPACE)))
+
+    def hashed(stripped: Column, pos: Column) -> Column:
+        low = F.transform(F.array(stripped), lowered)[0]
         return F.when(
-            F.char_length(key) >= min_chars,
-            F.struct(
-                pos.cast("int").alias("pos"), F.xxhash64(key).alias("a"), F.xxhash64(key, F.lit(1)).alias("b")
-            ),
+            F.char_length(stripped) >= min_chars,
+            F.transform(
+                F.array(low),
+                lambda k: F.struct(
+                    pos.cast("int").alias("pos"), F.xxhash64(k).alias("a"), F.xxhash64(k, F.lit(1)).alias("b")
+                ),
+            )[0],
         )
 
-    return F.filter(F.transform(F.split(text, "\n"), hashed), lambda h: h.isNotNull())
+    keys = F.transform(F.split(text, "\n"), key)
+    return F.filter(F.transform(keys, hashed), lambda h: h.isNotNull())
 
 
 def runs_of(dropped: Column, n_lines: Column) -> Column:
@@ -61,19 +74,22 @@ def runs_of(dropped: Column, n_lines: Column) -> Column:
 def lost_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """Per document (``doc_id`` and ``print``, a hash of its text) the sorted positions of the lines it loses."""
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["a", "b", F.col("doc_id").desc(), "pos"]
-    held = (
+    held = stored(
         documents_of(docs)
         .where(F.col("doc_id").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("print"), F.inline(long_lines(F.col("text"), min_chars)))
     )
-    held = stored(held.repartitionByRange(ranges, *order).sortWithinPartitions(*order))
-    # Each task streams its sorted range and sends on one row per hash and document, then one per hash.
+    order = ["a", "b", F.col("doc_id").desc()]
+    ranged = held.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "pos")
+    # Each task streams its sorted range twice over: one row per hash and document, then one per hash, the
+    # first of which is the keeper. Only the latter are shuffled, so a hash in many ranges meets as few rows.
     keepers = (
-        held.groupBy("a", "b")
-        .agg(F.max("doc_id").alias("keeper"), F.countDistinct("doc_id").alias("n"))
+        ranged.groupBy("a", "b", "doc_id")
+        .agg(F.min("pos"))
+        .groupBy("a", "b")
+        .agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_docs)
-        .drop("n")
+        .select("a", "b", "keeper")
     )
     return (
         held.join(keepers, ["a", "b"])
