@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import bpe, brown, chat, decontam, forest, langid, lines, toxicity
+from custofold.llm import bpe, brown, chat, decontam, forest, hamming, langid, lines, toxicity
 from custofold.llm.common import documents_of, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,9 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs.where(~held_out), labels.where(~held_out))
     scored = toxicity.score(docs.withColumn("held_out", held_out), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth, by inner product."""
+    return hamming.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)

@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.llm.common import BROADCAST_BYTES  # noqa: F401  (the sample stays far below it)
 
-SAMPLE, LANDMARKS = 8_000, 96
-DECAY, GAPS = 0.6, 3
+SAMPLE, LANDMARKS = 8_000, 64
+#: Likeness below this is what any two words may have; landmarks are less alike than ``ALIKE``.
+FLOOR, ALIKE = 0.5, 0.75
+DECAY, GAPS = 0.6, 2
 KINDS = 64  # of characters: word start, 26 letters, others by code point
 START = "^"
 PATTERNS = [(i, j) for i in range(1, GAPS + 2) for j in range(1, GAPS + 3 - i)]
@@ -53,17 +54,19 @@ def kind_table() -> np.ndarray:
     return table
 
 
-TABLE = kind_table()
+TABLE = kind_table().astype(np.int32)
 
 
 def kinds_of(text: str) -> np.ndarray:
     """The kinds of the characters of a lower-cased text, a start mark before each word."""
     points = np.frombuffer((" " + text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds = np.where(points < 1024, TABLE[np.minimum(points, 1023)], 28 + points % (KINDS - 28))
+    kinds = TABLE[np.minimum(points, 1023)]
+    far = np.flatnonzero(points >= 1024)
+    kinds[far] = 28 + points[far] % (KINDS - 28)
     # A separator before a word becomes its start mark, and another separator stands before that.
     starts = np.flatnonzero((kinds[:-1] == 0) & (kinds[1:] != 0))
     out = np.insert(kinds, starts + 1, 1)
-    return out.astype(np.int64)
+    return out.astype(np.int32)
 
 
 def subsequences(kinds: np.ndarray, pattern: tuple[int, int]) -> np.ndarray:
@@ -92,6 +95,7 @@ class Landmarks:
     words: list[str]
     row_of: np.ndarray  # code of a subsequence -> row of weights, -1 for none
     weights: np.ndarray
+    most: np.ndarray  # the highest weight of each row
     gram: np.ndarray
 
     @staticmethod
@@ -105,46 +109,45 @@ class Landmarks:
             for code, w in own.items():
                 raw[row_of[code], k] = w
         gram = raw.T @ raw
-        return Landmarks(words, row_of, (raw / np.maximum(np.diag(gram), 1e-9)).astype(np.float32), gram)
+        weights = (raw / np.maximum(np.diag(gram), 1e-9)).astype(np.float32)
+        return Landmarks(words, row_of, weights, weights.max(axis=1, initial=0), gram)
 
     def likeness(self, text: str) -> np.ndarray:
-        """The highest kernel value of any word of the text with each landmark."""
-        m = len(self.words)
-        best = np.zeros(m, np.float32)
+        """The highest kernel value of any word of the text with each landmark; below ``FLOOR`` it counts as none."""
+        best = np.zeros(len(self.words), np.float32)
         for begin, end in cut(text):
             kinds = kinds_of(text[begin:end])
-            word = np.cumsum(kinds == 1)
+            word = np.cumsum(kinds == 1, dtype=np.int32)
+            first, second = kinds * (KINDS * KINDS), kinds * KINDS
             hits, rows, factors = [], [], []
-            for p in PATTERNS:
-                if len(kinds) <= sum(p):
+            for i, j in PATTERNS:
+                n = len(kinds) - i - j
+                if n <= 0:
                     continue
-                row = self.row_of[subsequences(kinds, p)]
+                row = self.row_of[first[:n] + second[i : n + i] + kinds[i + j :]]
                 at = np.flatnonzero(row >= 0)
-                at = at[word[at] == word[at + sum(p)]]
+                at = at[word[at] == word[at + i + j]]
                 hits.append(word[at])
                 rows.append(row[at])
-                factors.append(np.full(len(at), DECAY ** (sum(p) - 2), np.float32))
-            word, row = np.concatenate(hits), np.concatenate(rows)
-            if not len(word):
+                factors.append(np.full(len(at), DECAY ** (i + j - 2), np.float32))
+            if not hits:
                 continue
-            order = np.argsort(word, kind="stable")
-            word, row, factor = word[order], row[order], np.concatenate(factors)[order]
-            firsts = np.flatnonzero(np.diff(word, prepend=-1))
-            # Words with few shared subsequences are like no landmark; leave them out before multiplying.
-            sizes = np.diff(np.append(firsts, len(word)))
-            busy = np.repeat(sizes >= 3, sizes)
+            word, row, factor = np.concatenate(hits), np.concatenate(rows), np.concatenate(factors)
+            # The sum of every hit's best weight bounds the likeness of a word with any landmark.
+            bound = np.bincount(word, self.most[row] * factor)
+            busy = np.flatnonzero(bound[word] >= FLOOR)
             word, row, factor = word[busy], row[busy], factor[busy]
             if not len(word):
                 continue
-            for part in range(0, len(word), 200_000):
-                stop = min(part + 200_000, len(word))
-                sums = np.add.reduceat(
-                    self.weights[row[part:stop]] * factor[part:stop, None],
-                    np.flatnonzero(np.diff(word[part:stop], prepend=-1)),
-                    axis=0,
-                )
+            order = np.argsort(word, kind="stable")
+            word, row, factor = word[order], row[order], factor[order]
+            firsts = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
+            for part in range(0, len(firsts) - 1, 4096):  # whole words, so that memory is bounded and no sum is cut
+                own = firsts[part : part + 4097]
+                inside = slice(own[0], own[-1])
+                sums = np.add.reduceat(self.weights[row[inside]] * factor[inside, None], own[:-1] - own[0], axis=0)
                 np.maximum(best, sums.max(axis=0), out=best)
-        return np.minimum(best, 1.5)
+        return np.where(best < FLOOR, 0.0, np.minimum(best, 1.0)).astype(np.float32)
 
 
 def cut(text: str) -> Iterator[tuple[int, int]]:
@@ -209,7 +212,7 @@ def choose_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[str]:
         own = features_of(word)
         norm = sum(w * w for w in own.values()) ** 0.5
         alike = (sum(w * k.get(c, 0.0) for c, w in own.items()) / (norm * n or 1) for k, n in zip(kept, norms, strict=True))
-        if norm and all(a < 0.8 for a in alike):
+        if norm and all(a < ALIKE for a in alike):
             chosen.append(word)
             kept.append(own)
             norms.append(norm)
@@ -234,7 +237,7 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.offset, -60, 60))))
 
 
-def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 50) -> np.ndarray:
+def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 0.1, rounds: int = 50) -> np.ndarray:
     """Weights (the last is the constant) that minimise squared hinge losses, both classes weighing the same."""
     x = np.hstack([x, np.ones((len(x), 1))])
     sign = np.where(y == 1, 1.0, -1.0)
