@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import bpe, brown, chat, decontam, forest, hamming, langid, lines, toxicity
+from custofold.llm import bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, toxicity
 from custofold.llm.common import documents_of, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,9 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth, by inner product."""
     return hamming.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query()
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, tolerant of small changes."""
+    return passages.shared_passages(table(spark, folder, "documents"))
