@@ -55,11 +55,14 @@ def kind_table() -> np.ndarray:
 
 
 TABLE = kind_table().astype(np.int32)
+#: ASCII marks inside and around words are passed over: a word with dots between its letters is the same word.
+MARKS = np.array([chr(i).isprintable() and not chr(i).isalnum() and i not in (32, 127) for i in range(128)])
 
 
 def kinds_of(text: str) -> np.ndarray:
     """The kinds of the characters of a lower-cased text, a start mark before each word."""
     points = np.frombuffer((" " + text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = points[~MARKS[np.minimum(points, 127)]]
     kinds = TABLE[np.minimum(points, 1023)]
     far = np.flatnonzero(points >= 1024)
     kinds[far] = 28 + points[far] % (KINDS - 28)
@@ -203,17 +206,22 @@ def choose_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[str]:
 
     ratio = part(F.col("p"), F.lit(p_all)) + part(F.col("q"), F.lit(q_all))
     more = F.col("p") / p_all > F.col("q") / q_all
-    best = held.where(more & (F.col("p") >= 3)).select("unit", ratio.alias("g")).where("g > 10").orderBy(F.desc("g"), "unit").limit(20 * count)
+    best = held.where(more & (F.col("p") >= 3)).select("unit", "p", "q", ratio.alias("g")).where("g > 10")
+    best = best.orderBy(F.desc("g"), F.desc(F.length("unit")), "unit").limit(20 * count)
     chosen: list[str] = []
     kept: list[dict] = []
     norms: list[float] = []
-    for unit in (r["unit"] for r in best.collect()):
-        word = unit.removesuffix("$")
+    counts: list[tuple] = []
+    for row in best.collect():
+        word = row["unit"].removesuffix("$")
+        if any(c == (row["p"], row["q"]) and longer.startswith(word) for longer, c in zip(chosen, counts, strict=True)):
+            continue  # a longer one tells the same texts
         own = features_of(word)
         norm = sum(w * w for w in own.values()) ** 0.5
         alike = (sum(w * k.get(c, 0.0) for c, w in own.items()) / (norm * n or 1) for k, n in zip(kept, norms, strict=True))
         if norm and all(a < ALIKE for a in alike):
             chosen.append(word)
+            counts.append((row["p"], row["q"]))
             kept.append(own)
             norms.append(norm)
         if len(chosen) == count:
