@@ -9,10 +9,11 @@ crowded region is not cut off: each document only looks at its next neighbours,
 A family is then searched exactly, on full shingle sets, in one task: its sets travel once. What the task
 returns is a forest of links, not pairs. Inside a task the search compares blocks of documents with all others
 and stops when everything outside the largest component was compared, so a family of copies costs few blocks.
-A family too large for a task is split by depth: its documents are grouped by longer prefixes of each tree
-until a group fits (``max_docs`` and ``max_shingles``); copies that share even the longest prefix are dealt
-into blocks that all hold the group's smallest document. Exact copies (equal shingle sets) are one document
-throughout.
+A family too large for a task (``max_docs`` or ``max_shingles``) is searched in blocks instead: in every tree its
+documents are sorted and cut into blocks that overlap by half, each of which is searched in the same way. The
+fuller a region, the longer the prefix that the documents of a block share. Blocks of all trees chain the
+copies of a very large family together; a link between two documents that share no block of any tree counts
+only through others. Exact copies (equal shingle sets) are one document throughout.
 
 Two documents are linked if the intersection of their sets is at least ``percent`` hundredths of the union.
 
@@ -24,11 +25,11 @@ linked with nothing. Rows that share a ``doc_id`` are judged one by one. Other c
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,6 @@ from custofold.llm.components import components
 TREES, HASHES = 16, 48
 #: Positions of the signature that every tree reads first; together they use each position once.
 PREFIX = HASHES // TREES
-#: Longer prefixes for crowded regions.
-DEPTHS = (6, 12, 24)
 NEIGHBOURS = 3
 MAX_DOCS, MAX_SHINGLES = 4096, 4_000_000
 BLOCK = 128
@@ -155,7 +154,7 @@ def neighbour_links(rows: DataFrame, agree: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[near]), pa.array(ids[near + step])], names=["a", "b"])
             place, ids, read = place[-NEIGHBOURS:], ids[-NEIGHBOURS:], read[-NEIGHBOURS:]
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def family_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -211,8 +210,10 @@ def search_groups(members: DataFrame, docs: DataFrame, words: int, percent: int)
         found = family_links(frame["doc_id"].to_numpy(), sets, percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
+    # A shuffle join at every size: adaptive execution would broadcast small memberships and shuffle large ones.
     return (
         documents_of(docs)
+        .hint("merge")
         .join(members, "doc_id")
         .select("grp", "doc_id", "text")
         .mapInArrow(sets_of, "grp string, doc_id long, own binary")
@@ -221,43 +222,47 @@ def search_groups(members: DataFrame, docs: DataFrame, words: int, percent: int)
     )
 
 
+def overlapping_blocks(rows: DataFrame, max_docs: int, max_shingles: int) -> DataFrame:
+    """Blocks (``grp``) of documents that stand together in a tree, each document in two that overlap.
+
+    The depth adapts to the region: the fuller it is, the longer the prefix that the documents of a block share.
+    Rows come sorted by family, place and order; a block holds half of what a task may take from either side.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        region, block, docs, size = None, 0, 0, 0
+        for batch in batches:
+            groups, ids = [], []
+            columns = [batch.column(n).to_pylist() for n in ("family", "place", "doc_id", "n_shingles")]
+            for family, place, doc, n in zip(*columns, strict=True):
+                if region != (family, place):
+                    region, block, docs, size = (family, place), 0, 0, 0
+                elif docs + 1 > max_docs // 2 or size + n > max_shingles // 2:
+                    block, docs, size = block + 1, 0, 0
+                docs, size = docs + 1, size + n
+                groups += [f"{family}.{place}.{task}.{block}", f"{family}.{place}.{task}.{block + 1}"]
+                ids += [doc, doc]
+            yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(ids, pa.int64())], names=["grp", "doc_id"])
+
+    return rows.mapInArrow(run, "grp string, doc_id long")
+
+
 def fitting_groups(members: DataFrame, trees: DataFrame, max_docs: int, max_shingles: int) -> DataFrame:
-    """Families that fit into a task as they are, the others grouped by ever longer prefixes of each tree.
+    """Families that fit into a task as they are; the others in blocks of every tree.
 
     ``members`` has ``family``, ``doc_id`` and ``n_shingles``; ``trees`` the rows of ``tree_rows``.
     """
-
-    def fits(groups: DataFrame, *by: str) -> DataFrame:
-        return groups.groupBy(*by).agg(
-            ((F.count(F.lit(1)) <= max_docs) & (F.sum("n_shingles") <= max_shingles)).alias("fit"),
-            F.count(F.lit(1)).alias("members"),
-        )
-
-    sized = members.join(fits(members, "family").drop("members"), "family")
-    out = [sized.where("fit").select(F.col("family").cast("string").alias("grp"), "doc_id")]
-    rest = sized.where("NOT fit").select("family", "doc_id", "n_shingles")
-    if rest.isEmpty():
-        return out[0]
-    rest = stored(rest.join(trees, "doc_id"))
-    for depth in (PREFIX, *DEPTHS):
-        deeper = rest.withColumn(
-            "grp", F.concat_ws(".", "family", "place", F.hex(F.substring("order", 1, depth - PREFIX)))
-        )
-        deeper = deeper.join(fits(deeper, "grp"), "grp")
-        out.append(deeper.where("fit AND members > 1").select("grp", "doc_id"))
-        rest = stored(deeper.where("NOT fit").drop("fit", "members"))
-        if rest.isEmpty():
-            break
-    else:
-        whole = rest.groupBy("grp").agg(
-            F.min("doc_id").alias("first"),
-            F.greatest(F.ceil(F.count(F.lit(1)) / (max_docs // 2)), F.ceil(2 * F.sum("n_shingles") / max_shingles)).alias("blocks"),
-        )
-        dealt = rest.join(whole, "grp").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-        named = F.concat_ws(".", "grp", "block").alias("grp")
-        out.append(dealt.select(named, "doc_id"))
-        out.append(dealt.select(named, F.col("first").alias("doc_id")).distinct())
-    return reduce(DataFrame.unionByName, out)
+    fits = members.groupBy("family").agg(
+        ((F.count(F.lit(1)) <= max_docs) & (F.sum("n_shingles") <= max_shingles)).alias("fit")
+    )
+    sized = stored(members.join(fits, "family"))
+    whole = sized.where("fit").select(F.col("family").cast("string").alias("grp"), "doc_id")
+    rest = sized.where("NOT fit").select("family", "doc_id", "n_shingles").join(trees, "doc_id")
+    ranges = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["family", "place", "order", "doc_id"]
+    dealt = rest.repartitionByRange(ranges, *order[:3]).sortWithinPartitions(*order)
+    return whole.unionByName(overlapping_blocks(dealt, max_docs, max_shingles))
 
 
 def near_duplicates(
