@@ -19,6 +19,8 @@ from custofold.plans import BatchConfig, document_values, fold_values, run
 from custofold.plans import sections as s
 from custofold.plans.batch import store_datasets
 from custofold.plans.document import section_arrays
+from custofold.plans.sections.address import SUB_DOCUMENT
+from custofold.plans.sections.individual import EMPTY_COLUMNS
 from custofold.schemas import DATASETS, LANDING, TAG, Tags
 from custofold.sources import Store, conform
 
@@ -65,6 +67,21 @@ def records(t: Tables, dataset: str) -> list[DataFrame]:
             CUSTOMER_SURNAME=F.concat(F.lit("  "), "c_name", F.lit(" ")),
             BANK_ID=brand,
             CUSTOMER_OWNED_BY=nation,
+            CUSTOMER_FORENAM_1=F.when(segment != "BUILDING", F.concat(F.lit(" F"), nation)),
+            CUSTOMER_FORENAM_2=F.lit("Q "),
+            CUSTOMER_FORENAM_3=F.nullif(segment, F.lit("MACHINERY")),
+            CUSTOMER_NAME_SFX=F.nullif(F.concat(F.lit(" Jr "), segment), F.lit(" Jr FURNITURE")),
+            CUSTOMER_GENDER=F.substring(segment, 1, 1),
+            CUSTOMER_DOB=F.concat(F.lit("1970-01-0"), F.substring(key, 1, 1)),
+            DEPEND_CHILD_CNT=nation,
+            CTRY_OF_BIRTH=F.concat(F.lit(" "), nation),
+            PLACE_OF_BIRTH=F.concat("c_name", F.lit(" ")),
+            TAX_NUMBER=F.concat(F.lit(" T"), key),
+            GRADUATION_DATE=F.when(F.col("c_acctbal") > 5000, "1990-06-30"),
+            DECEASED_DATE=F.when(F.col("c_acctbal") < 0, "1999-01-01"),
+            FIRST_CONTACT_DATE=F.lit("1994-12-31"),
+            HOME_OWNER_IND=F.when(F.col("c_acctbal") > 0, "Y"),
+            CUSTOMER_STATUS=segment,
             CTRY_OF_RESIDENCE=nation,
             BUSINESS_PHONE_NO=F.when(F.col("c_acctbal") > 0, F.concat(F.lit("B"), key)),
             HOME_PHONE_NO=F.when(segment == "HOUSEHOLD", " ").otherwise(F.concat(F.lit(" H"), nation)),
@@ -110,6 +127,9 @@ def records(t: Tables, dataset: str) -> list[DataFrame]:
         _records(c, TAGS["street_address"], key, F.lit(START),
                  CUSTOMER_ADDR_NO=F.lit("2"), ADDRESS_LINE_1=F.concat(F.lit(" "), "c_name"),
                  ADDRESS_LINE_2=nation, POSTCODE=segment),
+        _records(c, TAGS["street_address"], key, F.lit("1995-06-01T00:00:00"), "UP",
+                 CUSTOMER_ADDR_NO=F.lit("3"), ADDRESS_LINE_1=F.concat(F.lit("Z "), "c_name"), ADDRESS_LINE_2=nation,
+                 ADDRESS_LINE_3=segment, ADDRESS_LINE_4=F.concat(F.lit(" "), nation), POSTCODE=segment),
         _records(su, TAGS["street_address"], _text("s_suppkey"), F.lit(START),
                  CUSTOMER_ADDR_NO=F.lit("1"), ADDRESS_LINE_1=F.col("s_name"), ADDRESS_LINE_5=_text("s_nationkey")),
     ], "agreement": lambda: [
@@ -179,7 +199,7 @@ def value_sets(t: Tables) -> DataFrame:
     names = ["VALUE_SET_NAME", "COLUMN_1_STRING_VALUE", "VSL_LKP_VALUE", "OUT_ACTION_CODE"]
     frames = [t.nation.select(F.lit(name), code, value, act).toDF(*names) for name, code, value, act in per_nation]
     rows = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip([*f, "OK"], names, strict=True)]) for f in fixed])
-    frames.append(t.region.where("r_regionkey = 0").select(F.inline(rows)).toDF(*names))
+    frames.append(t.spark.range(1).select(F.inline(rows)).toDF(*names))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -202,7 +222,14 @@ ind_in AS (
          CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'D' END AS disability,
          c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS occupation,
          CASE WHEN c_mktsegment = 'BUILDING' THEN 'N' || CAST(c_custkey AS VARCHAR) END AS insurance,
-         CAST(c_nationkey AS VARCHAR) AS nationality
+         CAST(c_nationkey AS VARCHAR) AS nationality,
+         CASE WHEN c_mktsegment <> 'BUILDING' THEN ' F' || CAST(c_nationkey AS VARCHAR) END AS fore1,
+         'Q ' AS fore2, nullif(c_mktsegment, 'MACHINERY') AS fore3, nullif(' Jr ' || c_mktsegment, ' Jr FURNITURE') AS sfx,
+         substr(c_mktsegment, 1, 1) AS gender, '1970-01-0' || substr(CAST(c_custkey AS VARCHAR), 1, 1) AS dob,
+         CAST(c_nationkey AS VARCHAR) AS kids, ' ' || CAST(c_nationkey AS VARCHAR) AS birth_country,
+         c_name || ' ' AS birth_place, ' T' || CAST(c_custkey AS VARCHAR) AS tax,
+         CASE WHEN c_acctbal > 5000 THEN '1990-06-30' END AS graduated, CASE WHEN c_acctbal < 0 THEN '1999-01-01' END AS dead,
+         '1994-12-31' AS contact, CASE WHEN c_acctbal > 0 THEN 'Y' END AS owner_ind, c_mktsegment AS status
   FROM customer),
 ind_up AS (
   SELECT CAST(o_custkey AS VARCHAR) AS id, CASE o_orderstatus WHEN 'F' THEN 'UP' ELSE 'DL' END AS flag,
@@ -210,7 +237,8 @@ ind_up AS (
          'Order ' || CAST(o_orderkey AS VARCHAR) AS surname, 'MA' AS bank, '7 ' AS owned,
          NULL AS business, NULL AS home, 'M' || CAST(o_orderkey AS VARCHAR) AS mobile,
          strftime(o_orderdate, '%Y-%m-%d') AS changed, NULL AS ppt_country, NULL AS ppt_no, NULL AS disability,
-         NULL AS segment, NULL AS occupation, NULL AS insurance, substr(o_orderpriority, 1, 1) AS nationality
+         NULL AS segment, NULL AS occupation, NULL AS insurance, substr(o_orderpriority, 1, 1) AS nationality,
+         NULL AS fore1, NULL AS fore2, NULL AS fore3, NULL AS sfx, NULL AS gender, NULL AS dob, NULL AS kids, NULL AS birth_country, NULL AS birth_place, NULL AS tax, NULL AS graduated, NULL AS dead, NULL AS contact, NULL AS owner_ind, NULL AS status
   FROM orders WHERE o_orderstatus IN ('F', 'P')),
 ind_kept AS (
   SELECT * FROM ind_in
@@ -224,7 +252,8 @@ ind AS (
          coalesce(business, '') AS business, coalesce(home, '') AS home, coalesce(mobile, '') AS mobile,
          changed, coalesce(ppt_country, '') AS ppt_country, coalesce(ppt_no, '') AS ppt_no,
          coalesce(disability, '') AS disability, coalesce(segment, '') AS segment,
-         coalesce(occupation, '') AS occupation, coalesce(insurance, '') AS insurance, nationality
+         coalesce(occupation, '') AS occupation, coalesce(insurance, '') AS insurance, nationality,
+         coalesce(fore1, '') AS fore1, coalesce(fore2, '') AS fore2, coalesce(fore3, '') AS fore3, coalesce(sfx, '') AS sfx, coalesce(gender, '') AS gender, coalesce(dob, '') AS dob, coalesce(kids, '') AS kids, coalesce(birth_country, '') AS birth_country, coalesce(birth_place, '') AS birth_place, coalesce(tax, '') AS tax, coalesce(graduated, '') AS graduated, coalesce(dead, '') AS dead, coalesce(contact, '') AS contact, coalesce(owner_ind, '') AS owner_ind, coalesce(status, '') AS status
   FROM ind_kept)"""
 VSL = """
 vsl AS (
@@ -328,7 +357,9 @@ _section(
               UNION ALL SELECT *, 'RD INDIVIDUAL JOB TITLE CODE', occupation FROM ind
               UNION ALL SELECT *, 'RD INDIVIDUAL JOB TITLE', occupation FROM ind
               UNION ALL SELECT *, 'RD BANK ID', bank FROM ind
-              UNION ALL SELECT *, 'RD CUSTOMER OWNED BY', trim(owned) FROM ind) c
+              UNION ALL SELECT *, 'RD CUSTOMER OWNED BY', trim(owned) FROM ind
+              UNION ALL SELECT *, 'RD HOME OWNERSHIP STATUS', owner_ind FROM ind
+              UNION ALL SELECT *, 'RD MARITAL STATUS', status FROM ind) c
         LEFT JOIN vsl l ON l.vs = cls AND l.src = val
         WHERE trim(val) <> ''""",
 )
@@ -403,15 +434,23 @@ _section(
         LEFT JOIN vsl cc ON cc.vs = 'RD COUNTRY CODES' AND cc.src = country
         WHERE rn = 1""",
 )
+def _postal(c: str) -> str:
+    return _n(f"CASE WHEN st IN ('C', 'A') THEN trim({c}) END")
+
+
 ADDRESS_SQL = f"""
 SELECT a.id, 'LIVE' AS inst,
-       {_n('sy.lkp')} || '~' || {_n("CASE WHEN st IN ('C', 'A') THEN trim(line1) END")} || '~' ||
-       {_n("CASE WHEN st IN ('C', 'A') THEN trim(line2) END")} || '~' || trim(line1) || '~' || {_n('line2')} || '~' ||
-       {_n('line5')} || '~' || {_n('post')} || '~' || {_n('br.lkp')} || '~' || {_n('d.ts')} || '~' || {_n('d.flag')} AS v
-FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY line1) AS rn FROM (
+       {_n('sy.lkp')} || '~' || {" || '~' || ".join(_postal(f"line{i}") for i in range(1, 6))} || '~' ||
+       {" || '~' || ".join(_n(f"trim(line{i})") for i in range(1, 6))} || '~-~-~' ||
+       {_n('post')} || '~-~' || {_n('br.lkp')} || '~' || {_n('d.ts')} || '~' || {_n('d.flag')} AS v
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seen DESC, line1) AS rn FROM (
         SELECT CAST(c_custkey AS VARCHAR) AS id, ' ' || c_name AS line1, CAST(c_nationkey AS VARCHAR) AS line2,
-               CAST(NULL AS VARCHAR) AS line5, c_mktsegment AS post FROM customer
-        UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, CAST(s_nationkey AS VARCHAR), NULL FROM supplier) x) a
+               CAST(NULL AS VARCHAR) AS line3, CAST(NULL AS VARCHAR) AS line4, CAST(NULL AS VARCHAR) AS line5,
+               c_mktsegment AS post, '{START}' AS seen FROM customer
+        UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'Z ' || c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment,
+               ' ' || CAST(c_nationkey AS VARCHAR), NULL, c_mktsegment, '1995-06-01T00:00:00' FROM customer
+        UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, NULL, NULL, CAST(s_nationkey AS VARCHAR), NULL, '{START}'
+        FROM supplier) x) a
 JOIN (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, bank, owned) AS rn FROM ind) i ON i.id = a.id AND i.rn = 1
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pr, ts DESC) AS rn FROM (
         SELECT CAST(o_custkey AS VARCHAR) AS id, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS pr,
@@ -421,10 +460,21 @@ LEFT JOIN vsl sy ON sy.vs = 'RD SRC SYSTEMS' AND sy.src = 'CDB'
 LEFT JOIN vsl br ON br.vs = 'RD BRAND NAMES' AND br.src = CASE WHEN trim(i.bank || i.owned) = '' THEN 'Not Available'
                                                              ELSE i.bank || trim(i.owned) END
 WHERE a.rn = 1"""
-BASE_SQL = """
-SELECT id, 'LIVE' AS inst, 'CDB' AS sys, flag, ts,
-       trim(trim(title) || ' ' || trim(first_nm) || '    ' || trim(surname) || ' ') AS full_nm,
-       trim(bank || owned) AS bank, trim(title) AS salutation
+# The 41 columns of a document's base by name, in SQL over the versions of an individual.
+BASE_COLUMNS = {
+    "CUSTOMER_ID": "id", "SRC_SYS_INST_ID": "'LIVE'", "SRC_SYS_ID": "'CDB'",
+    "TAX_NUMBER": "trim(tax)", "PLACE_OF_BIRTH": "trim(birth_place)", "CTRY_OF_BIRTH": "trim(birth_country)",
+    "CUSTOMER_NAME_SFX": "trim(sfx)", "MIDDLE_NM_1": "trim(fore1)", "MIDDLE_NM_2": "trim(fore2)", "MIDDLE_NM_3": "trim(fore3)",
+    "CUSTOMER_FIRST_NAM": "trim(first_nm)", "CUSTOMER_SURNAME": "trim(surname)", "SALUTATION_NM": "trim(title)",
+    "CTRY_OF_RESIDENCE": "CASE WHEN surname LIKE 'Order %' THEN '' ELSE owned END", "GRADUATION_DATE": "graduated",
+    "DECEASED_DATE": "dead", "FIRST_CONTACT_DATE": "contact", "DEPEND_CHILD_CNT": "kids", "CUSTOMER_DOB": "dob",
+    "CUSTOMER_GENDER": "gender", "CUSTOMER_OWNED_BY": "owned", "SRC_EVT_TYP_FLG": "flag", "CRT_DT": "ts",
+    "BANK_ID": "trim(bank || owned)",
+    "FULL_NM": "trim(concat_ws(' ', trim(title), trim(first_nm), trim(fore1), trim(fore2), trim(fore3), trim(surname), trim(sfx)))",
+    "CNTRY_OF_RISK_ID": "-1", "LEGAL_CAPACITY_TP_ID": "-1",
+    **dict.fromkeys(EMPTY_COLUMNS, "CAST(NULL AS VARCHAR)"),
+}
+BASE_SQL = "SELECT " + ", ".join(f'{v} AS "{k}"' for k, v in BASE_COLUMNS.items()) + """
 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, flag) AS rn FROM ind) x WHERE rn = 1"""
 
 
@@ -459,14 +509,13 @@ for _name in SECTION_SQL:
     _register(_name)
 
 
-def address_text() -> Column:
-    """The source address as the SQL writes it."""
-    parts = [
-        "VSL_DATA_SRC_ID", "addressLine1", "addressLine2", "IDV_SRC.RES_ADDR_LN_1_TX", "IDV_SRC.RES_ADDR_LN_2_TX",
-        "IDV_SRC.RES_ADDR_LN_5_TX", "IDV_SRC.RES_POSTCODE_TX", "IDV_SRC.VSL_SRC_BRAND_ID", "IDV_SRC.SRC_EXTRACT_TS",
-        "IDV_SRC.SRC_EVT_TYP_FLG",
-    ]
-    return F.concat_ws("~", *[F.coalesce(F.col(p), F.lit("-")) for p in parts])
+def address_text(at: Column | None = None) -> Column:
+    """The source address as the SQL writes it: system, postal lines, and every field of the sub-document."""
+    def field(name: str) -> Column:
+        return F.col(name) if at is None else at[name]
+    sub = field("IDV_SRC")
+    parts = [field("VSL_DATA_SRC_ID"), *[field(f"addressLine{i}") for i in range(1, 6)], *[sub[n] for n in SUB_DOCUMENT]]
+    return F.concat_ws("~", *[F.coalesce(p, F.lit("-")) for p in parts])
 
 
 @query(
@@ -480,15 +529,10 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "individual_base",
-    f"""WITH {INDIVIDUALS}
-        SELECT id AS "CUSTOMER_ID", flag AS "SRC_EVT_TYP_FLG", ts AS "CRT_DT", full_nm AS "FULL_NM", bank AS "BANK_ID",
-               salutation AS "SALUTATION_NM", -1 AS "CNTRY_OF_RISK_ID"
-        FROM ({BASE_SQL}) b""",
+    f"WITH {INDIVIDUALS} {BASE_SQL}",
 )
 def _(t: Tables) -> DataFrame:
-    return s.individual_base(Batch(t)).select(
-        "CUSTOMER_ID", "SRC_EVT_TYP_FLG", "CRT_DT", "FULL_NM", "BANK_ID", "SALUTATION_NM", "CNTRY_OF_RISK_ID"
-    )
+    return s.individual_base(Batch(t))
 
 
 @query(
@@ -497,7 +541,17 @@ def _(t: Tables) -> DataFrame:
         SELECT 'individual' AS tag, id, flag, ts, surname AS detail FROM ind_kept
         UNION ALL SELECT 'relationship', id1 || '>' || id2, 'IN', ts, kind FROM rel
         UNION ALL SELECT DISTINCT 'email', CAST(user_id AS VARCHAR), 'IN', strftime(ts, '%Y-%m-%dT00:00:00'), event_type FROM events
-        UNION ALL SELECT 'agreement', CAST(o_custkey AS VARCHAR), 'IN', {TS.format('o_orderdate')}, CAST(o_orderkey AS VARCHAR) FROM orders""",
+        UNION ALL SELECT 'agreement', CAST(o_custkey AS VARCHAR), 'IN', {TS.format('o_orderdate')}, CAST(o_orderkey AS VARCHAR) FROM orders
+        UNION ALL SELECT 'gurn', CAST(o_custkey AS VARCHAR), NULL, NULL, ' G' || CAST(o_orderkey AS VARCHAR) FROM orders
+          WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+        UNION ALL SELECT 'street_address', CAST(c_custkey AS VARCHAR), NULL, '{START}', ' ' || c_name FROM customer
+        UNION ALL SELECT 'street_address', CAST(c_custkey AS VARCHAR), NULL, '1995-06-01T00:00:00', 'Z ' || c_name FROM customer
+        UNION ALL SELECT 'street_address', CAST(s_suppkey AS VARCHAR), NULL, '{START}', s_name FROM supplier
+        UNION ALL SELECT 'tax_residence', CAST(o_custkey AS VARCHAR), 'IN', {TS.format('o_orderdate')}, CAST(o_orderkey AS VARCHAR) FROM orders
+        UNION ALL SELECT 'citizenship', CAST(s_suppkey AS VARCHAR), 'IN', '1996-06-01T00:00:00', CAST(s_nationkey AS VARCHAR) FROM supplier
+        UNION ALL SELECT DISTINCT 'indicators', CAST(user_id AS VARCHAR), 'IN', strftime(ts, '%Y-%m-%dT00:00:00'),
+          CASE WHEN event_type IN ('purchase', 'view') THEN 'PEP' ELSE 'OTHER' END || '~' ||
+          CASE WHEN event_type = 'view' THEN 'N' ELSE 'Y ' END || '~' || strftime(ts, '%Y-%m-%d') FROM events""",
 )
 def _(t: Tables) -> DataFrame:
     data = Batch(t)
@@ -507,14 +561,23 @@ def _(t: Tables) -> DataFrame:
         "relationship": (ends, "REL_TYPE"),
         "email": ("CUSTOMER_ID", "E_ADDR_TYPE"),
         "agreement": ("CUSTOMER_ID", "ACCOUNT_NO"),
+        "gurn": ("CUSTOMER_ID", "GURN"),
+        "street_address": ("CUSTOMER_ID", "ADDRESS_LINE_1"),
+        "tax_residence": ("CUSTOMER_ID", "TAX_CRE_TIMESTAMP"),
+        "citizenship": ("CUSTOMER_ID", "ADDNL_CITIZENSHIP"),
+        "indicators": ("CUSTOMER_ID", F.concat_ws("~", "INDICATOR_TYPE", "INDICATOR_VALUE", "UPDATE_DATE_TIME")),
     }
+
+    def kept(name: str, column: str) -> Column:
+        return F.col(column) if column in DATASETS[name].columns else F.lit(None).cast("string")
+
     frames = [
         data[name].select(
             F.lit(name).alias("tag"),
             (F.col(key) if isinstance(key, str) else key).alias("id"),
-            F.col("SRC_EVT_TYP_FLG").alias("flag"),
-            F.col("SRC_EXTRACT_TS").alias("ts"),
-            F.col(text).alias("detail"),
+            kept(name, "SRC_EVT_TYP_FLG").alias("flag"),
+            kept(name, "SRC_EXTRACT_TS").alias("ts"),
+            (F.col(text) if isinstance(text, str) else text).alias("detail"),
         )
         for name, (key, text) in detail.items()
     ]
@@ -522,33 +585,74 @@ def _(t: Tables) -> DataFrame:
 
 
 ARRAYS = list(SECTION_SQL)
-DOCUMENT_SQL = (
+GATHERED = (
     f"WITH {INDIVIDUALS}, {VSL}, {RELATIONS}, "
     + ", ".join(f"s_{n} AS ({_gathered(n)})" for n in ARRAYS)
-    + f""", s_address AS (SELECT id, string_agg(DISTINCT v, '|' ORDER BY v) AS v FROM ({ADDRESS_SQL}) a GROUP BY id)
-    SELECT b.id AS "CUSTOMER_ID", b.full_nm AS "FULL_NM", b.bank AS "BANK_ID", """
+    + f", s_address AS (SELECT id, string_agg(DISTINCT v, '|' ORDER BY v) AS v FROM ({ADDRESS_SQL}) a GROUP BY id)"
+)
+DOCUMENT_SQL = (
+    f"{GATHERED} SELECT b.*, "
     + ", ".join(f's_{n}.v AS "{n}"' for n in ARRAYS)
-    + f", s_address.v IS NOT NULL AS has_address FROM ({BASE_SQL}) b "
-    + " ".join(f"LEFT JOIN s_{n} ON s_{n}.id = b.id AND s_{n}.inst = b.inst" for n in ARRAYS)
-    + " LEFT JOIN s_address ON s_address.id = b.id"
+    + f""", s_address.v AS "ADDRESS", 0 AS "DOC_PART" FROM ({BASE_SQL}) b """
+    + " ".join(f'LEFT JOIN s_{n} ON s_{n}.id = b."CUSTOMER_ID" AND s_{n}.inst = b."SRC_SYS_INST_ID"' for n in ARRAYS)
+    + """ LEFT JOIN s_address ON s_address.id = b."CUSTOMER_ID" """
 )
 
 
 def document_text(docs: DataFrame) -> DataFrame:
+    addresses = F.array_join(F.array_sort(F.transform("ADDRESS", address_text)), "|")
     return docs.select(
-        "CUSTOMER_ID", "FULL_NM", "BANK_ID",
-        *[_value_text(docs, n).alias(n) for n in ARRAYS],
-        F.col("IDV_SRC").isNotNull().alias("has_address"),
+        *BASE_COLUMNS, *[_value_text(docs, n).alias(n) for n in ARRAYS], addresses.alias("ADDRESS"), "DOC_PART"
     )
 
 
-@query("customer_document", DOCUMENT_SQL)
-def customer_document(t: Tables) -> DataFrame:
-    """Reconcile, split, sections, fold: documents with the two stored steps of a batch run."""
+def stored_values(t: Tables) -> DataFrame:
+    """The stacked values of all documents, with the two stored steps of a batch run."""
     store = Store(t.spark, scratch(t.spark))
     data = store_datasets(store, landing(t), TAGS, "unique")
-    values = store.materialize(document_values(data, Lookup.of(value_sets(t))), "partial")
-    return document_text(fold_values(values))
+    return store.materialize(document_values(data, Lookup.of(value_sets(t))), "partial")
+
+
+@query("customer_document", DOCUMENT_SQL)
+def customer_document(t: Tables) -> DataFrame:
+    """Reconcile, split, sections, fold: whole documents."""
+    return document_text(fold_values(stored_values(t)))
+
+
+VALUE_SQL = " UNION ALL ".join(
+    [f"""SELECT id, '{n}' AS section, v FROM (SELECT DISTINCT id, inst, v FROM ({SECTION_SQL[n]}) q) d
+         WHERE EXISTS (SELECT 1 FROM base WHERE base."CUSTOMER_ID" = d.id AND d.inst = 'LIVE')""" for n in ARRAYS]
+    + [f"""SELECT id, 'ADDRESS', v FROM (SELECT DISTINCT id, v FROM ({ADDRESS_SQL}) q) d"""]
+)
+
+
+@query(
+    "customer_document_parts",
+    f"""WITH {INDIVIDUALS}, {VSL}, {RELATIONS}, base AS ({BASE_SQL}), vals AS ({VALUE_SQL}),
+        sizes AS (SELECT "CUSTOMER_ID" AS id, "FULL_NM" AS name, (SELECT count(*) FROM vals WHERE vals.id = "CUSTOMER_ID") AS n FROM base)
+        SELECT s.id AS "CUSTOMER_ID", s.name AS "FULL_NM", n + 1 > 12 AS continued, true AS parts_fit, section, v
+        FROM sizes s LEFT JOIN vals ON vals.id = s.id""",
+)
+def _(t: Tables) -> DataFrame:
+    """Documents of at most about twelve values a part: every value once, under a part that has the base filled."""
+    docs = document_text(fold_values(stored_values(t), max_items=12))
+    none = F.array().cast("array<struct<section:string,v:string>>")
+
+    def listed(name: str) -> Column:
+        texts = F.split(F.col(name), r"\|")
+        return F.coalesce(F.transform(texts, lambda v: F.struct(F.lit(name).alias("section"), v.alias("v"))), none)
+
+    values = F.flatten(F.array(*[listed(n) for n in (*ARRAYS, "ADDRESS")]))
+    rows = docs.select("CUSTOMER_ID", "FULL_NM", "DOC_PART", F.explode_outer(values).alias("one"))
+    counted = docs.groupBy("CUSTOMER_ID").agg(
+        F.max("DOC_PART").alias("last"), F.sum(F.size(values)).alias("n"), F.count_distinct("DOC_PART").alias("parts")
+    )
+    together = rows.where("one IS NOT NULL OR DOC_PART = 0").join(counted, "CUSTOMER_ID")
+    fits = (F.col("last") + 1 == F.ceil((F.col("n") + 1) / 12)) & (F.col("parts") == F.col("last") + 1)
+    empty_first = F.col("one").isNull() & (F.col("n") > 0)  # a first part to which no value was dealt
+    return together.where(~empty_first).select(
+        "CUSTOMER_ID", "FULL_NM", (F.col("last") > 0).alias("continued"), fits.alias("parts_fit"), "one.section", "one.v"
+    )
 
 
 @query("customer_document_run", DOCUMENT_SQL)

@@ -551,6 +551,26 @@ def _(t: Tables) -> DataFrame:
     return got.select("c_custkey", "c_name", order_text("orders").alias("orders"))
 
 
+@query(
+    "attach_parts",
+    f"""SELECT c_custkey, c_name, {ORDER_TEXT} AS one, n > 3 AS continued, true AS parts_fit FROM customer
+        LEFT JOIN (SELECT DISTINCT o_custkey, o_orderpriority, o_orderstatus FROM orders) o ON o_custkey = c_custkey
+        LEFT JOIN (SELECT o_custkey AS id, count(DISTINCT {ORDER_TEXT}) AS n FROM orders GROUP BY o_custkey) s ON id = c_custkey""",
+)
+def _(t: Tables) -> DataFrame:
+    # Three values to a part: the base columns stand on every part, and every value in one of them.
+    got = attach(t.customer.select("c_custkey", "c_name"), order_values(t), ["c_custkey"], max_items=3)
+    sizes = got.groupBy("c_custkey").agg(F.sum(F.size("orders")).alias("n"), F.max("DOC_PART").alias("last"))
+    rows = got.select("c_custkey", "c_name", "DOC_PART", F.explode_outer("orders").alias("one")).join(sizes, "c_custkey")
+    return rows.select(
+        "c_custkey",
+        "c_name",
+        F.concat(F.col("one.o_orderpriority"), F.lit("/"), F.col("one.o_orderstatus")).alias("one"),
+        F.when(F.col("one").isNotNull(), F.col("n") > 3).alias("continued"),
+        (F.col("DOC_PART") < F.ceil(F.greatest("n", F.lit(1)) / 3)).alias("parts_fit"),
+    )
+
+
 @query(
     "assemble_document",
     f"""WITH o AS (SELECT o_custkey AS id, string_agg(DISTINCT {ORDER_TEXT}, '|' ORDER BY {ORDER_TEXT}) AS orders
@@ -558,7 +578,7 @@ def _(t: Tables) -> DataFrame:
         e AS (SELECT user_id AS id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS events
               FROM events GROUP BY user_id),
         s AS (SELECT s_suppkey AS id, s_name FROM supplier)
-        SELECT c_custkey, c_name, orders, events, s_name
+        SELECT c_custkey, c_name, orders, events, s_name, 0 AS "DOC_PART"
         FROM customer LEFT JOIN o ON o.id = c_custkey LEFT JOIN e ON e.id = c_custkey LEFT JOIN s ON s.id = c_custkey""",
 )
 def _(t: Tables) -> DataFrame:
@@ -570,10 +590,10 @@ def _(t: Tables) -> DataFrame:
             "s_name": t.supplier.select(F.col("s_suppkey").alias("c_custkey"), "s_name"),
         },
         ["c_custkey"],
-        singles=["s_name"],
     )
     return docs.select(
-        "c_custkey", "c_name", order_text("orders").alias("orders"), F.array_join("events", "|").alias("events"), "s_name"
+        "c_custkey", "c_name", order_text("orders").alias("orders"), F.array_join("events", "|").alias("events"),
+        F.array_join("s_name", "|").alias("s_name"), "DOC_PART",
     )
 
 

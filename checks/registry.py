@@ -38,6 +38,8 @@ def query(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name below the session's shared folder; a local one only where none is set (tests)."""
+    """A new folder name below the session's shared folder; a local one only where one machine runs everything."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/') if shared else tempfile.mkdtemp(prefix='run-')}/{uuid.uuid4().hex}"

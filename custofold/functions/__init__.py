@@ -13,7 +13,7 @@ from custofold.functions.text import (
     value_if,
     xml_text,
 )
-from custofold.functions.time import default_today, parse_ts
+from custofold.functions.time import default_today, newest, parse_ts
 
 __all__ = [
     "NOT_AVAILABLE",
@@ -24,6 +24,7 @@ __all__ = [
     "default_today",
     "full_name",
     "has_value",
+    "newest",
     "null_fallback",
     "parse_ts",
     "typed_null",

@@ -17,6 +17,11 @@ def parse_ts(c: Column | str, fmt: str = EXTRACT_FORMAT) -> Column:
     return F.try_to_timestamp(col, F.lit(fmt))
 
 
+def newest(c: str) -> list[Column]:
+    """What a pick of the newest row orders by: the time, then its text, so that a bad text never comes first."""
+    return [parse_ts(c), F.col(c)]
+
+
 def default_today(c: Column | str, today: dt.date | None = None) -> Column:
     """The date text, or today's date where it is NULL. ``today`` pins the clock."""
     col = F.col(c) if isinstance(c, str) else c

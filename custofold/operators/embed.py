@@ -1,8 +1,10 @@
 """Sub-documents: gathering them per key, attaching them, and building whole documents.
 
-A document normally is one row. A key with more than ``max_items`` distinct values is continued in further
-rows (``DOC_PART`` 1, 2, ...) that hold the rest of its arrays, because one row has to fit into one task
-and document stores limit the size of a document. Nothing is dropped, and no row holds an unbounded array.
+Every array-shaped result has one format: a row per key and ``DOC_PART``. A key with at most ``max_items`` distinct
+values has part 0 only; a larger one has parts 0, 1, 2, ... that share its values between them, because one row has
+to fit into one task and document stores limit the size of a document. The base columns are filled on every
+part. Nothing is dropped, and no row holds an unbounded array. ``stack_values`` gives the same content one value
+per row, without any limit.
 """
 
 from __future__ import annotations
@@ -35,22 +37,27 @@ def collect_subdocs(
 
 
 def attach(
-    base: DataFrame, section: DataFrame, keys: Sequence[str], shape: str = "array", max_items: int = MAX_ITEMS
+    base: DataFrame,
+    section: DataFrame,
+    keys: Sequence[str],
+    shape: str = "array",
+    max_items: int = MAX_ITEMS,
+    part: str = PART,
 ) -> DataFrame:
     """Left join of one section to the documents; rows without the first key are left out.
 
-    ``shape="array"`` gathers the section's single value column into one array per key first, so a document
-    stays one row (one row per part for an oversize key). ``shape="rows"`` repeats the document once per
-    distinct value; several sections attached this way multiply.
+    ``shape="array"`` gathers the section's single value column into one array per key and part first; column
+    ``part`` tells the parts apart (0 where the section has nothing for a key). ``shape="rows"`` repeats the
+    document once per distinct value; several sections attached this way multiply.
     """
     if shape == "rows":
-        part = section.distinct()
-    elif shape == "array":
-        (name,) = [c for c in section.columns if c not in keys]
-        part = collect_subdocs(section, keys, name, name, max_items).drop(PART)
-    else:
+        return base.join(section.distinct(), list(keys), "left").where(F.col(keys[0]).isNotNull())
+    if shape != "array":
         raise ValueError(f"unknown shape {shape!r}")
-    return base.join(part, list(keys), "left").where(F.col(keys[0]).isNotNull())
+    (name,) = [c for c in section.columns if c not in keys]
+    gathered = collect_subdocs(section, keys, name, name, max_items).withColumnRenamed(PART, part)
+    joined = base.join(gathered, list(keys), "left").where(F.col(keys[0]).isNotNull())
+    return joined.withColumn(part, F.coalesce(part, F.lit(0)))
 
 
 def stack_values(base: DataFrame, sections: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -66,32 +73,22 @@ def stack_values(base: DataFrame, sections: Mapping[str, DataFrame], keys: Seque
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def fold_documents(
-    values: DataFrame, keys: Sequence[str], singles: Sequence[str] = (), max_items: int = MAX_ITEMS
-) -> DataFrame:
+def fold_documents(values: DataFrame, keys: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame:
     """Documents from stacked values: one shuffle gathers all sections at once.
 
-    Columns named in ``singles`` have at most one value per key and stay as they are; the others become
-    sorted arrays (NULL where a document has no value, as after a left join). Keys without a base row give
-    no document. Store ``values`` before calling this: it is read twice, the first time for its keys only.
+    Every section becomes a sorted array (NULL where a document has no value in it, as after a left join). Keys
+    without a base row give no document; of several base rows of a key the smallest counts. Store ``values``
+    before calling this: it is read twice, the first time for its keys only.
     """
     keys = list(keys)
     sections = [c for c in values.columns if c not in (*keys, BASE)]
     placed = place(values, keys, max_items, anchor=F.col(BASE).isNotNull())
-    filled = [F.first(BASE, ignorenulls=True).alias(BASE)]
-    for name in sections:
-        if name in singles:
-            filled.append(F.first(name, ignorenulls=True).alias(name))
-        else:
-            filled.append(F.collect_set(name).alias(name))
-    grouped = placed.groupBy(*keys, PART).agg(*filled)
-    arrays = [
-        F.col(n) if n in singles else F.when(F.size(n) > 0, F.sort_array(n)).alias(n) for n in sections
-    ]
+    gathered = [F.min(BASE).alias(BASE), *[F.collect_set(name).alias(name) for name in sections]]
     return (
-        grouped.where(F.col(BASE).isNotNull() | (F.col(PART) > 0))
-        .select(*keys, f"{BASE}.*", *arrays, PART)
-        .where(F.col(keys[0]).isNotNull())
+        placed.groupBy(*keys, PART)
+        .agg(*gathered)
+        .where(F.col(BASE).isNotNull() & F.col(keys[0]).isNotNull())
+        .select(*keys, f"{BASE}.*", *[F.when(F.size(n) > 0, F.sort_array(n)).alias(n) for n in sections], PART)
     )
 
 
@@ -100,12 +97,11 @@ def assemble(
     sections: Mapping[str, DataFrame],
     keys: Sequence[str],
     shape: str = "array",
-    singles: Sequence[str] = (),
     max_items: int = MAX_ITEMS,
 ) -> DataFrame:
     """Whole documents from a base frame and its sections, in either shape."""
     if shape == "array":
-        return fold_documents(stack_values(base, sections, keys), keys, singles, max_items)
+        return fold_documents(stack_values(base, sections, keys), keys, max_items)
     if shape != "rows":
         raise ValueError(f"unknown shape {shape!r}")
     docs = base

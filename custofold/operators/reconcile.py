@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custofold.functions.time import parse_ts
+from custofold.functions.time import newest
 from custofold.operators.pick import latest_by
 from custofold.schemas import (
     CHANGED,
@@ -52,24 +52,27 @@ def reconcile(
     return _merge(df.where(F.col(flag) == insert), df.where(F.col(flag) != insert), keys, time, ties)
 
 
-def reconcile_dataset(df: DataFrame, dataset: str, tag: str) -> DataFrame:
+def reconcile_dataset(df: DataFrame, dataset: str, tag: str, keys: Sequence[str] | None = None) -> DataFrame:
     """One dataset of the mixed batch, reconciled.
 
     Only the dataset's own columns travel: a landing row is some seventy columns wide, most of them empty.
     Records are known by customer, system and instance; a relationship has no customer of its own and is
-    known by its two ends and its type. A staged batch (with ``CHANGE_KIND``) is read partition by partition.
+    known by its two ends and its type. Other ``keys`` may be given, e.g. with the address number for customers
+    that have several addresses. A staged batch (with ``CHANGE_KIND``) is read partition by partition.
     """
     own = RELATION_KEY if dataset == "relationship" else ("CUSTOMER_ID",)
-    keys = [*own, "SRC_SYS_ID", "SRC_SYS_INST_ID"]
+    keys = list(keys) if keys else [*own, "SRC_SYS_ID", "SRC_SYS_INST_ID"]
     columns = list(dict.fromkeys([*DATASETS[dataset].columns, *keys, FLAG, EXTRACT_TS]))
     rows = df.where(F.col(TAG) == tag)
     inserts, changes = rows.where(F.col(FLAG) == INSERT_FLAG), rows.where(F.col(FLAG) != INSERT_FLAG)
     if KIND in df.columns:
         inserts, changes = inserts.where(F.col(KIND) == INSERTED), changes.where(F.col(KIND) == CHANGED)
-    kept = _merge(inserts.select(*columns), changes.select(*columns), keys, [parse_ts(EXTRACT_TS), EXTRACT_TS], None)
+    kept = _merge(inserts.select(*columns), changes.select(*columns), keys, newest(EXTRACT_TS), None)
     return dataset_columns(kept, dataset)
 
 
-def reconcile_all(df: DataFrame, tags: Tags) -> dict[str, DataFrame]:
-    """All nine datasets of the batch, reconciled."""
-    return {name: reconcile_dataset(df, name, tags[name]) for name in DATASETS}
+def reconcile_all(
+    df: DataFrame, tags: Tags, keys: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, DataFrame]:
+    """All nine datasets of the batch, reconciled; ``keys`` may give a dataset other keys than the usual ones."""
+    return {name: reconcile_dataset(df, name, tags[name], (keys or {}).get(name)) for name in DATASETS}

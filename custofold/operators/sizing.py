@@ -60,8 +60,8 @@ def place(
     hash of the value into as many parts as it needs, so no group that is collected afterwards grows with
     the data, and copies of one value always meet in the same part. No row is dropped for its size.
 
-    ``anchor`` marks the row that makes a key a document; it stays in part 0, and values of an oversize key
-    without such a row are left out here (they belong to no document).
+    ``anchor`` marks the row that makes a key a document; it is given to every part of its key, and values of an
+    oversize key without such a row are left out here (they belong to no document).
 
     Counting rows (copies included) finds the few keys worth a closer look from the key columns alone; only
     those keys' rows are then counted exactly.
@@ -84,8 +84,10 @@ def place(
         .select(*renamed, F.ceil(F.col("__n") / max_items).cast("int").alias("__parts"), "__held")
     )
     exact = F.broadcast(exact) if crowded.small(max_bytes) else exact
-    hashed = F.pmod(F.xxhash64(*rest), F.coalesce("__parts", F.lit(1))).cast("int")
-    part = hashed if anchor is None else F.when(anchor, F.lit(0)).otherwise(hashed)
+    parts = F.coalesce("__parts", F.lit(1))
+    part = F.pmod(F.xxhash64(*rest), parts).cast("int")
+    if anchor is not None:
+        part = F.explode(F.when(anchor, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(part)))
     placed = (
         values.join(exact, on_renamed(keys), "left")
         .where(F.coalesce("__held", F.lit(True)))

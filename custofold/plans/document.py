@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custofold.operators import Lookup, assemble, attach, collect_subdocs, fold_documents, stack_values
-from custofold.operators.sizing import MAX_ITEMS, PART
+from custofold.operators.sizing import MAX_ITEMS
 from custofold.plans import sections as s
 from custofold.schemas import DOC_KEY
 
-ADDRESS = "__address"
+ADDRESS = "ADDRESS"
 NUMBERS, KINDS = "GURN", "RL_TP_ID"
 
 
@@ -39,7 +39,11 @@ def section_frames(
 def document_values(
     data: Mapping[str, DataFrame], table: Lookup, today: dt.date | None = None
 ) -> DataFrame:
-    """Everything that goes into the documents, one value per row, ready to be stored and folded."""
+    """Everything that goes into the documents, one value per row, ready to be stored and folded.
+
+    The source address is a section like the others: its values hold the system code, the postal lines and the
+    sub-document, one for every listing of the system code.
+    """
     frames = section_frames(data, table, today)
     address = frames.pop("IDV_SRC")
     rest = [c for c in address.columns if c not in DOC_KEY]
@@ -53,9 +57,8 @@ def document_values(
 
 
 def fold_values(values: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """One document per key (and part) from stacked values."""
-    docs = fold_documents(values, DOC_KEY, singles=[ADDRESS], max_items=max_items)
-    return docs.select(*[c for c in docs.columns if c not in (ADDRESS, PART)], f"{ADDRESS}.*", PART)
+    """One document per key and part from stacked values."""
+    return fold_documents(values, DOC_KEY, max_items)
 
 
 def document_rows(data: Mapping[str, DataFrame], table: Lookup, today: dt.date | None = None) -> DataFrame:
@@ -65,9 +68,9 @@ def document_rows(data: Mapping[str, DataFrame], table: Lookup, today: dt.date |
     sections, so this shape is for feeds known to have few values per customer.
     """
     frames = section_frames(data, table, today)
-    base = attach(s.individual_rows(data), s.relation_kinds(data), DOC_KEY)
+    base = attach(s.individual_rows(data), s.relation_kinds(data), DOC_KEY, part=f"{KINDS}_PART")
     for name in ("EMAIL", "PHONE"):
-        base = attach(base, frames.pop(name), DOC_KEY)
+        base = attach(base, frames.pop(name), DOC_KEY, part=f"{name}_PART")
     return assemble(base, frames, DOC_KEY, shape="rows")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custofold.functions import blank_to, clean, code_concat, parse_ts, typed_null, value_if
+from custofold.functions import blank_to, clean, code_concat, newest, typed_null, value_if
 from custofold.operators import Lookup, latest_by, lookup, lookup_constant, priority_pick
 from custofold.plans.sections.contacts import BRAND_SET, SOURCE_SYSTEM, SYSTEM_SET
 from custofold.schemas import DOC_KEY, EXTRACT_TS
@@ -27,17 +27,18 @@ def address_rows(data: Mapping[str, DataFrame], table: Lookup) -> DataFrame:
     """One flat row per customer with an address: the best agreement decides about the postal lines.
 
     Only the agreement's status ranks the combinations of address, customer version and agreement, so each
-    of the three is cut to one row per customer before they meet; no combination is ever built.
+    of the three is cut to one row per customer before they meet; no combination is ever built. Of a customer's
+    addresses the newest counts.
     """
     by = ["CUSTOMER_ID"]
-    home = latest_by(data["street_address"], by, [])
+    home = latest_by(data["street_address"], by, newest(EXTRACT_TS)).drop(EXTRACT_TS)
     person = latest_by(
         data["individual"].select(*by, "BANK_ID", "CUSTOMER_OWNED_BY", EXTRACT_TS),
-        by, [parse_ts(EXTRACT_TS), EXTRACT_TS],
+        by, newest(EXTRACT_TS),
     ).select(*by, blank_to(code_concat("BANK_ID", clean("CUSTOMER_OWNED_BY"))).alias("__brand"))
     deal = priority_pick(
         data["agreement"].select(*by, "CUST_ADDR_STATUS", EXTRACT_TS, "SRC_EVT_TYP_FLG"),
-        by, "CUST_ADDR_STATUS", STATUS_ORDER, [F.col(EXTRACT_TS).desc_nulls_last()],
+        by, "CUST_ADDR_STATUS", STATUS_ORDER, [t.desc_nulls_last() for t in newest(EXTRACT_TS)],
     )
     rows = home.join(person, by).join(deal, by, "left")
     rows = lookup_constant(rows, table, SYSTEM_SET, SOURCE_SYSTEM, "VSL_DATA_SRC_ID")

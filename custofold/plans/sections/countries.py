@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custofold.functions import clean, default_today, has_value
+from custofold.functions import clean, default_today, has_value, newest
 from custofold.operators import Lookup, latest_by, lookup, with_match
 from custofold.plans.sections.identity import COUNTRY_SET
 from custofold.schemas import DOC_KEY, EXTRACT_TS
@@ -51,7 +51,7 @@ def countries(data: Mapping[str, DataFrame], table: Lookup, today: dt.date | Non
         .unionByName(named(national, "CTRY_OF_NATIONALTY", CITIZENSHIP_TYPE, NATIONALITY_TYPE))
         .unionByName(named(citizen, "ADDNL_CITIZENSHIP", CITIZENSHIP_TYPE, NATIONALITY_TYPE))
     )
-    rows = latest_by(rows, ["CUSTOMER_ID", "__country", "__type"], "__time")
+    rows = latest_by(rows, ["CUSTOMER_ID", "__country", "__type"], newest("__time"))
     rows = rows.withColumn("__country", clean("__country"))
     rows = lookup(rows, table, "__type", "CNTRY_TYPE_ID", set_name=COUNTRY_TYPE_SET)
     rows = lookup(rows, table, "__country", "CNTRY_ID", set_name=COUNTRY_SET)

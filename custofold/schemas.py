@@ -84,7 +84,7 @@ DATASETS: dict[str, Dataset] = {
     "individual": Dataset(
         tuple(INDIVIDUAL_PLAIN + INDIVIDUAL_BLANKED), frozenset(INDIVIDUAL_BLANKED), ("CUSTOMER_ID",)
     ),
-    "street_address": Dataset(tuple(STREET_ADDRESS)),
+    "street_address": Dataset((*STREET_ADDRESS, EXTRACT_TS)),  # the time tells the newest address
     "gurn": Dataset(tuple(GURN)),
     "email": Dataset(tuple(EMAIL)),
     "relationship": Dataset(tuple(RELATIONSHIP)),
@@ -129,6 +129,11 @@ class Tags:
         missing = DATASETS.keys() - self.values.keys()
         if missing:
             raise ValueError(f"no tag given for {sorted(missing)}")
+        unknown = self.values.keys() - DATASETS.keys()
+        if unknown:
+            raise ValueError(f"tags given for unknown datasets {sorted(unknown)}")
+        if len(set(self.values.values())) < len(self.values):
+            raise ValueError("two datasets have the same tag")
 
     def __getitem__(self, dataset: str) -> str:
         return self.values[dataset]

@@ -6,10 +6,14 @@ from custofold.sources.landing import (
     dataset_columns,
     empty_dataset,
     read_landing,
+    read_records,
+    rejected_records,
     reset_stage,
     split_all,
     split_by_tag,
     stage_batch,
+    usable_records,
+    with_reason,
 )
 from custofold.sources.publish import publish, publish_payload
 from custofold.sources.store import Store
@@ -24,9 +28,13 @@ __all__ = [
     "publish",
     "publish_payload",
     "read_landing",
+    "read_records",
+    "rejected_records",
     "reset_stage",
     "section_statuses",
     "split_all",
     "split_by_tag",
     "stage_batch",
+    "usable_records",
+    "with_reason",
 ]

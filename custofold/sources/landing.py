@@ -15,6 +15,41 @@ def read_landing(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     return spark.read.schema(schema).json(path).where(F.col(TAG).isNotNull())
 
 
+BROKEN = "BROKEN_LINE"
+REASON = "REASON"
+
+
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All records of JSON lines files, also those that nothing can be done with; a malformed line is kept as text."""
+    schema = T.StructType([*LANDING.fields, T.StructField(BROKEN, T.StringType())])
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", BROKEN).json(path)
+
+
+def with_reason(records: DataFrame, tags: Tags) -> DataFrame:
+    """The records of ``read_records`` with the reason for which a run cannot use them (NULL: it can)."""
+    reason = (
+        F.when(F.col(BROKEN).isNotNull(), "malformed line")
+        .when(F.col(TAG).isNull(), "no tag")
+        .when(~F.col(TAG).isin(*tags.values.values()), "unknown tag")
+        .when(F.col(FLAG).isNull(), "no event flag")
+    )
+    for name, spec in DATASETS.items():
+        for column in spec.required:
+            reason = reason.when((F.col(TAG) == tags[name]) & F.col(column).isNull(), f"no {column}")
+    return records.withColumn(REASON, reason)
+
+
+def usable_records(judged: DataFrame) -> DataFrame:
+    """The records that a run can use."""
+    return judged.where(F.col(REASON).isNull()).drop(REASON, BROKEN)
+
+
+def rejected_records(judged: DataFrame) -> DataFrame:
+    """``REASON`` and the record as text of all others."""
+    whole = F.coalesce(BROKEN, F.to_json(F.struct(*LANDING.names)))
+    return judged.where(F.col(REASON).isNotNull()).select(REASON, whole.alias("RECORD"))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in its order; a column the frame lacks becomes a typed NULL."""
     given = {f.name: f.dataType for f in df.schema.fields}

@@ -4,6 +4,9 @@ With a file format every table is a folder of numbered versions. ``overwrite`` w
 then commits its number to the table's log, so a reader (also one inside the very plan that is being
 written) keeps the version it started from, and a failed overwrite changes nothing. With any other format
 (a document database, JDBC) the calls pass straight through to that connector.
+
+A table has one writer at a time: versions are numbered without a lock, and an append to the live version
+may be seen half-way by a reader on file systems whose commit is not atomic.
 """
 
 from __future__ import annotations
@@ -16,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FILE_FORMATS = frozenset({"parquet", "orc", "json", "avro"})
-LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType())])
+FILE_FORMATS = frozenset({"parquet", "orc", "json"})
+LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()), T.StructField("freed", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -50,10 +53,10 @@ class Store:
             raise
         return log.agg(F.max("version")).first()[0]
 
-    def _commit(self, table: str, version: int) -> None:
-        self.spark.range(version, version + 1).select(F.col("id").alias("version")).coalesce(1).write.mode(
-            "append"
-        ).json(self._log(table))
+    def _note(self, table: str, what: str, version: int) -> None:
+        self.spark.range(version, version + 1).select(F.col("id").alias(what)).coalesce(1).write.mode("append").json(
+            self._log(table)
+        )
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
@@ -96,20 +99,24 @@ class Store:
         new = 0 if version is None else version + 1
         # Leftovers of an overwrite that failed before its commit are replaced.
         self._write(df, table, "overwrite", new, partition_by)
-        self._commit(table, new)
+        self._note(table, "version", new)
 
     def clear(self, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
         """A truly empty table: no rows and no placeholder that later batches would have to skip."""
         self.overwrite(self.spark.createDataFrame([], schema), table, partition_by)
 
-    def expire(self, table: str, keep: int = 1, look_back: int = 2) -> None:
-        """Free the space of the ``look_back`` versions before the last ``keep``; their folders stay, empty.
+    def expire(self, table: str, keep: int = 1) -> None:
+        """Free the space of all versions before the last ``keep``; their folders stay, empty.
 
-        A batch run overwrites a table once and calls this once, so a short look back is enough.
+        The log says up to which version this was done before, so every version is freed once, however many
+        runs failed in between.
         """
         version = self.version(table) if self._versioned else None
         newest = (version or 0) - keep
-        for old in range(max(0, newest - look_back + 1), newest + 1):
+        if newest < 0:
+            return
+        freed = self.spark.read.schema(LOG_SCHEMA).json(self._log(table)).agg(F.max("freed")).first()[0]
+        for old in range(0 if freed is None else freed + 1, newest + 1):
             folder = self._folder(table, old)
             try:
                 schema = self.spark.read.format(self.fmt).load(folder).schema
@@ -118,8 +125,10 @@ class Store:
                     continue  # that version holds no files
                 raise
             self.spark.createDataFrame([], schema).write.format(self.fmt).mode("overwrite").save(folder)
+        if freed is None or freed < newest:
+            self._note(table, "freed", newest)
 
     def materialize(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write a frame and read it back: lineage ends here, and later steps read it once per need."""
+        """Write a frame and read it back with its own schema: lineage ends here, and later steps read it once per need."""
         self.overwrite(df, table, partition_by)
-        return self.read(table)
+        return self.read(table, df.schema)

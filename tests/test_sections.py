@@ -4,9 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from custofold.operators import Lookup
 from custofold.plans import sections as s
 from custofold.plans.document import documents
-from custofold.schemas import DATASETS
+from custofold.schemas import DATASETS, LOOKUP
 from tests.helpers import data_of, value_sets, values
 
 T1, T2 = "2020-01-01T00:00:00", "2020-02-01T00:00:00"
@@ -202,17 +203,41 @@ def test_whole_documents_in_both_shapes(spark):
     one = got["1"]
     sizes = {c: len(one[c] or []) for c in ("GURN", "RL_TP_ID", "EMAIL", "PHONE", "CLASS", "IDVIDENT", "RL_IDV", "IDVORG", "IDV_FLAG")}
     assert sizes == dict(GURN=1, RL_TP_ID=2, EMAIL=1, PHONE=1, CLASS=2, IDVIDENT=2, RL_IDV=1, IDVORG=2, IDV_FLAG=2)
-    assert one.IDV_SRC is None and got["2"].IDV_SRC.RES_ADDR_LN_1_TX == "l"
+    assert one.ADDRESS is None and [a.IDV_SRC.RES_ADDR_LN_1_TX for a in got["2"].ADDRESS] == ["l"]
     rows = documents(data, table, "rows")
     # class x identifier x organisation relation x flag
     assert rows.where("CUSTOMER_ID = '1'").count() == 2 * 2 * 2 * 2
-    assert set(rows.columns) == set(array.columns) - {"DOC_PART"}
+    flat = {"VSL_DATA_SRC_ID", "IDV_SRC", *[f"addressLine{i}" for i in range(1, 6)]}
+    parts = {"EMAIL_PART", "PHONE_PART", "RL_TP_ID_PART"}
+    assert set(rows.columns) - flat - parts == set(array.columns) - {"DOC_PART", "ADDRESS"} and flat | parts < set(rows.columns)
     assert dict(rows.dtypes)["PHONE"].startswith("array") and dict(rows.dtypes)["CLASS"].startswith("struct")
 
 
+def test_no_address_is_lost_when_a_system_code_is_listed_twice(spark):
+    data = everything(spark)
+    found = []
+    for order in (1, -1):
+        twice = [("RD SRC SYSTEMS", "CDB", f"sys {k}", "OK") for k in (1, 2)][::order]
+        table = Lookup.of(spark.createDataFrame(twice, LOOKUP))
+        arrays = documents(data, table).where("CUSTOMER_ID = '2'").first().ADDRESS
+        rows = documents(data, table, "rows").where("CUSTOMER_ID = '2'").collect()
+        found.append([a.VSL_DATA_SRC_ID for a in arrays])
+        assert sorted({r.VSL_DATA_SRC_ID for r in rows}) == found[-1]
+    assert found == [["sys 1", "sys 2"]] * 2
+
+
+def test_the_newest_address_counts(spark):
+    address = [("A old", "IN", "2020-01-01T00:00:00"), ("Z new", "UP", "2020-02-01T00:00:00"), ("B bad", "IN", "later")]
+    data = data_of(
+        spark, individual=[dict(CUSTOMER_ID="1")],
+        street_address=[dict(CUSTOMER_ID="1", ADDRESS_LINE_1=x, SRC_EVT_TYP_FLG=f, SRC_EXTRACT_TS=t) for x, f, t in address])
+    (row,) = s.source_address(data, value_sets(spark)).collect()
+    assert row.IDV_SRC.RES_ADDR_LN_1_TX == "Z new"
+
+
 def test_no_sections_at_all(spark):
     data = data_of(spark, individual=[dict(CUSTOMER_ID="1")])
     (doc,) = documents(data, value_sets(spark)).collect()
-    assert doc.EMAIL is None and doc.GURN is None and doc.addressLine1 is None
+    assert doc.EMAIL is None and doc.GURN is None and doc.ADDRESS is None
     assert len(DATASETS["individual"].columns) == 38
     assert documents(data, value_sets(spark)).where(F.col("DOC_PART") == 0).count() == 1

@@ -73,6 +73,31 @@ def test_expiring_a_version_without_files(spark, store):
     assert store.read("t").count() == 1
 
 
+def test_every_old_version_is_freed_once(spark, store):
+    for n in range(5):
+        store.overwrite(spark.range(n + 1), "t")
+    store.expire("t")
+    assert [spark.read.schema("id long").parquet(store._folder("t", v)).count() for v in range(5)] == [0, 0, 0, 0, 5]
+    store.overwrite(spark.range(9), "t")
+    store.expire("t")
+    assert store.read("t").count() == 9 and store.version("t") == 5
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_materialized_frames_keep_their_schema(spark, tmp_path, fmt):
+    kept = Store(spark, str(tmp_path / fmt), fmt)
+    df = spark.createDataFrame([(1, None), (2, None)], "a long, b string")
+    assert kept.materialize(df, "t").schema == df.schema
+    assert kept.materialize(df.where("a > 5"), "t").columns == ["a", "b"]
+
+
+def test_tags_are_checked():
+    with pytest.raises(ValueError, match="unknown"):
+        Tags({**Tags().values, "indvidual": "X"})
+    with pytest.raises(ValueError, match="same tag"):
+        Tags({**Tags().values, "gurn": "email"})
+
+
 def test_failed_overwrite_changes_nothing(spark, store):
     store.append(spark.range(3), "t")
     with pytest.raises(Exception, match="boom"):
@@ -185,6 +210,35 @@ def test_run_twice(spark, store, tmp_path):
             ("NO_RECORDS", "PASSPORT"), ("SUCCESS", "batch stored")} <= audit
 
 
+def test_records_that_cannot_be_used_are_kept(spark, store, tmp_path):
+    store.append(spark.createDataFrame(VALUE_SETS, LOOKUP), "value_sets")
+    odd = [{"x": 1}, record("nobody's"), record("gurn", SRC_EVT_TYP_FLG=None), record("individual", CUSTOMER_TITLE="Dr")]
+    path = write_json(tmp_path / "1.json", people("1") + odd, "\n{broken\n")
+    assert run(spark, BatchConfig(path), store).count() == 1
+    kept = {r.REASON: r.RECORD for r in store.read("rejects").collect()}
+    assert kept.keys() == {"no tag", "unknown tag", "no event flag", "no CUSTOMER_ID", "malformed line"}
+    assert kept["malformed line"] == "{broken" and json.loads(kept["no CUSTOMER_ID"])["CUSTOMER_TITLE"] == "Dr"
+    assert [r.message for r in store.read("audit").where("status = 'REJECTED'").collect()].count("no tag: 1 records") == 1
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_whole_run_with_other_formats(spark, tmp_path, fmt):
+    kept = Store(spark, str(tmp_path / fmt), fmt)
+    kept.append(spark.createDataFrame(VALUE_SETS, LOOKUP), "value_sets")
+    docs = run(spark, BatchConfig(write_json(tmp_path / "1.json", people("1", "2"))), kept)
+    assert {(r.CUSTOMER_ID, len(r.PHONE), r.GURN, r.ADDRESS) for r in docs.collect()} == {("1", 1, None, None), ("2", 1, None, None)}
+
+
+def test_an_error_without_text_is_noted(spark, store, tmp_path, monkeypatch):
+    def broken(*_):
+        raise RuntimeError
+
+    monkeypatch.setattr("custofold.plans.batch.read_records", broken)
+    with pytest.raises(RuntimeError):
+        run(spark, BatchConfig("nowhere"), store)
+    assert "RuntimeError()" in {r.message for r in store.read("audit").collect()}
+
+
 def test_command_line(spark, store, tmp_path):
     store.append(spark.createDataFrame(VALUE_SETS, LOOKUP), "codes")
     path = write_json(tmp_path / "1.json", [{**r, TAG: "P"} for r in people("1")])
