@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,22 @@ from custofold.operators import (
     with_match,
     without_match,
 )
-from custofold.sources import Store, audit_append, publish_payload
+from custofold.schemas import DATASETS, KIND, LANDING, TAG, Tags
+from custofold.sources import (
+    Store,
+    audit_append,
+    conform,
+    empty_dataset,
+    publish_payload,
+    read_records,
+    rejected_records,
+    reset_stage,
+    split_all,
+    split_by_tag,
+    stage_batch,
+    usable_records,
+    with_reason,
+)
 
 DAY = dt.date(2024, 5, 1)
 
@@ -53,12 +69,38 @@ DAY = dt.date(2024, 5, 1)
 # ------------------------------------------------------------------ columns and filters
 
 
+def tagged_events(t: Tables) -> DataFrame:
+    """Events as records of a mixed batch, tagged by their type."""
+    rows = t.events.select(
+        F.col("event_type").alias(TAG),
+        F.lit("IN").alias("SRC_EVT_TYP_FLG"),
+        F.col("user_id").cast("string").alias("CUSTOMER_ID"),
+        F.col("event_type").alias("E_ADDR_TYPE"),
+        F.col("event_id").cast("string").alias("E_ADDR"),
+    )
+    return conform(rows, LANDING)
+
+
 @query(
     "split_by_tag",
-    "SELECT event_id, user_id, value FROM events WHERE event_type = 'click'",
+    """SELECT CAST(user_id AS VARCHAR) AS "CUSTOMER_ID", event_type AS "E_ADDR_TYPE", CAST(event_id AS VARCHAR) AS "E_ADDR"
+       FROM events WHERE event_type = 'click'""",
+)
+def _(t: Tables) -> DataFrame:
+    return split_by_tag(tagged_events(t), "email", "click").select("CUSTOMER_ID", "E_ADDR_TYPE", "E_ADDR")
+
+
+@query(
+    "split_all",
+    """SELECT CASE event_type WHEN 'click' THEN 'email' WHEN 'view' THEN 'indicators' END AS dataset, count(*) AS n
+       FROM events WHERE event_type IN ('click', 'view') GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
-    return t.events.where(F.col("event_type") == "click").select("event_id", "user_id", "value")
+    tags = Tags({**{n: n for n in DATASETS}, "email": "click", "indicators": "view"})
+    frames = split_all(tagged_events(t), tags)
+    rows = [frame.select(F.lit(name).alias("dataset")) for name, frame in frames.items()]
+    rows.append(empty_dataset(t.spark, "gurn").select(F.lit("nothing").alias("dataset")))
+    return reduce(DataFrame.unionByName, rows).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -68,8 +110,77 @@ def _(t: Tables) -> DataFrame:
        SELECT o_orderkey, 'change' AS kind FROM orders WHERE o_orderstatus <> 'O'""",
 )
 def _(t: Tables) -> DataFrame:
-    kind = F.when(F.col("o_orderstatus") == "O", "insert").when(F.col("o_orderstatus") != "O", "change")
-    return t.orders.select("o_orderkey", kind.alias("kind")).where(F.col("kind").isNotNull())
+    staged = stage_batch(Store(t.spark, scratch(t.spark)), order_records(t), "stage")
+    return staged.select(F.col("ACCOUNT_NO").cast("long").alias("o_orderkey"), F.col(KIND).alias("kind"))
+
+
+def order_records(t: Tables) -> DataFrame:
+    """Orders as agreement records: open ones are inserts, the others changes."""
+    rows = t.orders.select(
+        F.lit("agreement").alias(TAG),
+        F.when(F.col("o_orderstatus") == "O", "IN").otherwise("UP").alias("SRC_EVT_TYP_FLG"),
+        F.col("o_custkey").cast("string").alias("CUSTOMER_ID"),
+        F.col("o_orderkey").cast("string").alias("ACCOUNT_NO"),
+    )
+    return conform(rows, LANDING)
+
+
+@query(
+    "stage_backlog",
+    """SELECT 'after a failed run' AS step, count(*) AS n, count(DISTINCT o_orderkey) AS orders FROM
+         (SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O') x
+       UNION ALL SELECT 'after a reset', count(*), count(DISTINCT o_orderkey) FROM orders WHERE o_orderstatus = 'P'""",
+)
+def _(t: Tables) -> DataFrame:
+    # The first batch stays staged, as after a failed run; the second one is added to it; then the stage is reset.
+    store, rows = Store(t.spark, scratch(t.spark)), order_records(t)
+    stage_batch(store, rows.withColumn(TAG, F.when(F.col("ACCOUNT_NO").isNotNull(), F.col(TAG))), "stage")
+    inserts = rows.where("SRC_EVT_TYP_FLG = 'IN'")
+    both = stage_batch(store, inserts.unionByName(inserts.withColumn(TAG, F.lit(None).cast("string"))), "stage")
+
+    def counted(step: str, staged: DataFrame) -> DataFrame:
+        n = F.count(F.lit(1)).alias("n")
+        return staged.agg(n, F.countDistinct("ACCOUNT_NO").alias("orders")).select(F.lit(step).alias("step"), "n", "orders")
+
+    first = Store(t.spark, scratch(t.spark)).materialize(counted("after a failed run", both), "counts")
+    reset_stage(store, "stage")
+    late = t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("string").alias("ACCOUNT_NO"))
+    again = stage_batch(store, rows.join(late, "ACCOUNT_NO", "left_semi"), "stage")
+    return first.unionByName(counted("after a reset", again))
+
+
+@query(
+    "landing_rejects",
+    """SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'malformed line' WHEN '2-HIGH' THEN 'no tag'
+              WHEN '3-MEDIUM' THEN 'unknown tag' WHEN '5-LOW' THEN 'no event flag' ELSE 'no CUSTOMER_ID' END AS "REASON",
+              count(*) AS n FROM orders GROUP BY 1
+       UNION ALL SELECT 'used', count(*) FROM customer""",
+)
+def _(t: Tables) -> DataFrame:
+    """Good lines from customers, and a line that cannot be used from every order."""
+    number, priority = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    record = F.to_json(
+        F.struct(
+            F.when(priority == "2-HIGH", None).when(priority == "3-MEDIUM", "nobody's").otherwise("individual").alias(TAG),
+            F.when(priority != "5-LOW", "IN").alias("SRC_EVT_TYP_FLG"),
+            number.alias("TAX_NUMBER"),
+        )
+    )
+    bad = t.orders.select(F.when(priority == "1-URGENT", F.concat(F.lit("{broken "), number)).otherwise(record).alias("value"))
+    good = t.customer.select(
+        F.to_json(
+            F.struct(
+                F.lit("individual").alias(TAG),
+                F.lit("IN").alias("SRC_EVT_TYP_FLG"),
+                F.col("c_custkey").cast("string").alias("CUSTOMER_ID"),
+            )
+        ).alias("value")
+    )
+    path = scratch(t.spark)
+    bad.unionByName(good).write.text(path)
+    judged = with_reason(read_records(t.spark, path), Tags())
+    refused = rejected_records(judged).groupBy("REASON").agg(F.count("RECORD").alias("n"))
+    return refused.unionByName(usable_records(judged).agg(F.count("CUSTOMER_ID").alias("n")).select(F.lit("used").alias("REASON"), "n"))
 
 
 @query(
@@ -633,10 +744,8 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     store = Store(t.spark, scratch(t.spark))
-    statuses = F.array(*[F.lit(s) for s in ("F", "O", "P")])
-    counts = t.orders.agg(*[F.count_if(F.col("o_orderstatus") == F.get(statuses, i)).alias(s) for i, s in enumerate("FOP")])
-    found = counts.first().asDict()
-    audit_append(store, "audit", "orders", "customer", [(s, f"{n} rows") for s, n in found.items()], DAY)
+    found = t.orders.groupBy("o_orderstatus").count().collect()  # a row per status
+    audit_append(store, "audit", "orders", "customer", [(r["o_orderstatus"], f"{r['count']} rows") for r in found], DAY)
     return store.read("audit").withColumn("date", F.col("date").cast("string"))
 
 
