@@ -303,4 +303,4 @@ def near_duplicates(
 def dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of the smallest document of every component; rows that share its ``doc_id`` stay alike."""
     gone = near_duplicates(docs, words, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.hint("merge").join(gone, "doc_id", "left_anti")
