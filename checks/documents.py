@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import Tables, query, scratch
-from custofold.operators import Lookup, reconcile_dataset
+from custofold.operators import Lookup, reconcile_dataset, verification_results
 from custofold.plans import BatchConfig, document_values, fold_values, run
 from custofold.plans import sections as s
 from custofold.plans.batch import store_datasets
@@ -527,6 +527,34 @@ def _(t: Tables) -> DataFrame:
     return rows.select("CUSTOMER_ID", address_text().alias("address"))
 
 
+VERIFIED_SQL = ADDRESS_SQL.replace(" || '~' || ".join(_postal(f"line{i}") for i in range(1, 6)), _postal("upper(line1)") + " || '~-~-~-~-'")
+
+
+@query(
+    "section_idv_src_verified",
+    f"""WITH {INDIVIDUALS}, {VSL} SELECT id AS "CUSTOMER_ID", v AS address FROM ({VERIFIED_SQL}) a""",
+)
+def _(t: Tables) -> DataFrame:
+    """Requests from the address rows, an answer to each that gives the first line in capitals, and the lines replaced."""
+    store, table = Store(t.spark, scratch(t.spark)), Lookup.of(value_sets(t))
+    data = store_datasets(store, landing(t), TAGS, "unique")
+    asked = s.address_requests(s.address_rows(data, table))
+
+    def asked_for(name: str) -> Column:
+        return F.regexp_extract("payload", f"<av:{name}>(.*?)</av:{name}>", 1)
+
+    answer = F.concat(
+        F.lit("<Envelope><Body><Operation><Match_Code>V4</Match_Code><AddressLine1>"),
+        F.upper(asked_for("AddressLine1")),
+        F.lit("</AddressLine1><SEQ_NUM>"),
+        asked_for("SEQ_NUM"),
+        F.lit("</SEQ_NUM></Operation></Body></Envelope>"),
+    )
+    verified = verification_results(asked.select(answer.alias("response")), "response")
+    rows = s.source_address(data, table, verified)
+    return rows.select("CUSTOMER_ID", address_text().alias("address"))
+
+
 @query(
     "individual_base",
     f"WITH {INDIVIDUALS} {BASE_SQL}",

@@ -4,7 +4,7 @@ Each function takes the datasets by name (and the value-set table) and returns t
 column with a single value per row. Copies of a value may occur; gathering removes them.
 """
 
-from custofold.plans.sections.address import address_rows, source_address
+from custofold.plans.sections.address import address_requests, address_rows, source_address
 from custofold.plans.sections.classes import classification, flags
 from custofold.plans.sections.contacts import email, phone
 from custofold.plans.sections.countries import countries
@@ -13,6 +13,7 @@ from custofold.plans.sections.individual import individual_base, individual_rows
 from custofold.plans.sections.relations import individual_relations, organisation_relations
 
 __all__ = [
+    "address_requests",
     "address_rows",
     "classification",
     "countries",

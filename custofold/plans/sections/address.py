@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custofold.functions import blank_to, clean, code_concat, newest, typed_null, value_if
-from custofold.operators import Lookup, latest_by, lookup, lookup_constant, priority_pick
+from custofold.operators import (
+    Lookup,
+    latest_by,
+    lookup,
+    lookup_constant,
+    merge_verified,
+    priority_pick,
+    request_key,
+    verification_requests,
+)
 from custofold.plans.sections.contacts import BRAND_SET, SOURCE_SYSTEM, SYSTEM_SET
 from custofold.schemas import DOC_KEY, EXTRACT_TS
 
@@ -57,11 +66,35 @@ def address_rows(data: Mapping[str, DataFrame], table: Lookup) -> DataFrame:
     )
 
 
-def source_address(data: Mapping[str, DataFrame], table: Lookup) -> DataFrame:
-    """``VSL_DATA_SRC_ID``, the five postal lines and ``IDV_SRC`` per document key."""
-    return address_rows(data, table).select(
+POSTAL_LINES = tuple(f"addressLine{i}" for i in range(1, 7))
+
+
+def address_requests(rows: DataFrame) -> DataFrame:
+    """Keys and request texts for the postal lines of ``address_rows``; rows without any line ask for nothing."""
+    asked = rows.where(F.coalesce(*POSTAL_LINES).isNotNull()).select(*POSTAL_LINES).distinct()
+    keyed = asked.withColumn("request_key", request_key(*POSTAL_LINES))
+    return verification_requests(keyed, POSTAL_LINES).select("request_key", "payload")
+
+
+def with_verified_lines(rows: DataFrame, verified: DataFrame) -> DataFrame:
+    """The rows with the five lines of the answer in place of their own where an answer has a match code."""
+    merged = merge_verified(rows.withColumn("request_key", request_key(*POSTAL_LINES)), verified)
+    known = F.col("verified_match_code").isNotNull()
+    lines = {c: F.when(known, F.col(f"verified_{c}")).otherwise(F.col(c)) for c in POSTAL_LINES[:5]}
+    return merged.withColumns(lines).select(*rows.columns)
+
+
+def source_address(data: Mapping[str, DataFrame], table: Lookup, verified: DataFrame | None = None) -> DataFrame:
+    """``VSL_DATA_SRC_ID``, the five postal lines and ``IDV_SRC`` per document key.
+
+    ``verified`` holds the answers (``verification_results``) to ``address_requests``, if there are any.
+    """
+    rows = address_rows(data, table)
+    if verified is not None:
+        rows = with_verified_lines(rows, verified)
+    return rows.select(
         *DOC_KEY,
         "VSL_DATA_SRC_ID",
-        *[f"addressLine{i}" for i in range(1, 6)],
+        *POSTAL_LINES[:5],
         F.struct(*SUB_DOCUMENT).alias("IDV_SRC"),
     )
