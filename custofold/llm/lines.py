@@ -83,7 +83,8 @@ def lost_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
     ranged = held.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "pos")
     # Each task streams its sorted range twice over: one row per hash and document, then one per hash, the
     # first of which is the keeper. Only the latter are shuffled, so a hash in many ranges meets as few rows.
-    keepers = (
+    # They are stored, so that the join below has an exchange on either side that can be split where it is skewed.
+    keepers = stored(
         ranged.groupBy("a", "b", "doc_id")
         .agg(F.min("pos"))
         .groupBy("a", "b")
