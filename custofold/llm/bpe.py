@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.llm.common import id_text, mix, texts
+from custofold.llm.common import id_text, mix, texts, trimmed
 
 # Fixed value: the splitting pattern of byte-level tokenizer files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WINDOW = 16
 CHUNK_BYTES = 1024
-MEMORY_BYTES = 48_000_000
+MEMORY_BYTES = 24_000_000
+PIECE_ROWS = 128
 HOT_ROWS, HOT_LINES = 2_000, 10_000
 
 
@@ -173,8 +174,8 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, chunk_bytes)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):  # small pieces bound the memory of long texts
-                piece = batch.slice(begin, 512)
+            for begin in range(0, batch.num_rows, PIECE_ROWS):  # small pieces bound the memory of long texts
+                piece = batch.slice(begin, PIECE_ROWS)
                 data, offsets = texts(piece.column("text").fill_null(""))
                 ends = own.cuts(data)
                 raw = data.tobytes()
@@ -192,7 +193,7 @@ def encode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFr
                     names=[*names, "ids", "decoded"],
                 )
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(trimmed(run), schema)
 
 
 def encode_documents(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

@@ -1,20 +1,17 @@
-"""What several operators share: written intermediate tables, text columns, broadcast bounds, Arrow helpers."""
+"""What several operators share: written intermediate tables, text columns, Arrow and hash helpers."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Nothing above this size is broadcast; callers then take their shuffle or block-wise path.
-BROADCAST_BYTES = 64 * 1024 * 1024
-LONGS = pa.int64()
-
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below the folder that the cluster shares.
@@ -72,6 +69,23 @@ def binaries(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The batch function, giving free memory back to the machine at the end of a task.
+
+    Workers are reused: what one stage has freed but still holds would count beside the next stage's needs.
+    """
+
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # not a GNU C library
+
+    return task
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor, shift, multiply): equal inputs give equal hashes on every machine."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -82,7 +96,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, kept for the words of a task so that each is hashed once; forgets all when full."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 250_000):
         self.known: dict[bytes, int] = {}
         self.limit = limit
 

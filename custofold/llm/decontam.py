@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.llm.common import mix, words_of
+from custofold.llm.common import mix, trimmed, words_of
 
 WINDOW, PERCENT = 13, 80
 LEAST_WORDS = 5
@@ -122,7 +122,7 @@ class Matcher:
     def number(self, words: list[bytes]) -> np.ndarray:
         """Numbers of words: 0 for one that no item has, -1 for marks only."""
         known = self.numbers
-        if len(known) > 1_000_000:
+        if len(known) > 250_000:
             known.clear()
         try:
             return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
@@ -224,7 +224,7 @@ def mark(
                     [*(batch.column(n) for n in names), pa.array(found, kind)], names=[*names, "leaks"]
                 )
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(trimmed(run), schema)
     return out
 
 

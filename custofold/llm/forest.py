@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custofold.llm.common import WordHashes, binaries, documents_of, mix, stored, words_of
+from custofold.llm.common import WordHashes, binaries, documents_of, mix, stored, trimmed, words_of
 from custofold.llm.components import components
 
 TREES, HASHES = 16, 48
@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return documents_of(docs).mapInArrow(run, f"doc_id {kind}, n_shingles long, high long, low long, sig binary")
+    return documents_of(docs).mapInArrow(trimmed(run), f"doc_id {kind}, n_shingles long, high long, low long, sig binary")
 
 
 def signature(own: np.ndarray, salts: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def tree_rows(distinct: DataFrame) -> DataFrame:
                     names=["place", "order", "doc_id"],
                 )
 
-    return distinct.mapInArrow(run, "place long, order binary, doc_id long")
+    return distinct.mapInArrow(trimmed(run), "place long, order binary, doc_id long")
 
 
 def neighbour_links(rows: DataFrame, agree: float) -> DataFrame:
@@ -216,7 +216,7 @@ def search_groups(members: DataFrame, docs: DataFrame, words: int, percent: int)
         .hint("merge")
         .join(members, "doc_id")
         .select("grp", "doc_id", "text")
-        .mapInArrow(sets_of, "grp string, doc_id long, own binary")
+        .mapInArrow(trimmed(sets_of), "grp string, doc_id long, own binary")
         .groupBy("grp")
         .applyInPandas(search, "a long, b long")
     )

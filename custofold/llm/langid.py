@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.llm.common import texts
+from custofold.llm.common import texts, trimmed
 
 UNDECIDED = "und"
 ORDER = 3
 MAX_GRAMS = 2_000_000
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 
 
 def gram_codes(data: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
@@ -74,7 +74,7 @@ def count_grams(docs: DataFrame, lang: str, order: int = ORDER) -> DataFrame:
 
     rows = docs.select(F.col(lang).cast("string").alias("lang"), "text").where("lang IS NOT NULL AND text IS NOT NULL")
     return (
-        rows.mapInArrow(run, "lang string, gram long, n long")
+        rows.mapInArrow(trimmed(run), "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -180,7 +180,7 @@ def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:
                 [*(batch.column(n) for n in names), chosen, pa.array(score)], names=[*names, "lang_pred", "score"]
             )
 
-    scored = docs.select(*names).mapInArrow(run, schema)
+    scored = docs.select(*names).mapInArrow(trimmed(run), schema)
     decided = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)) & F.col("lang_pred").isNotNull()
     return scored.withColumn("score", F.when(decided, F.col("score")).otherwise(0.0)).withColumn(
         "lang_pred", F.when(decided, F.col("lang_pred")).otherwise(UNDECIDED)
