@@ -46,6 +46,24 @@ def test_code_lengths_are_exact(spark):
                 assert abs(got[k] - brute(text, lang, order)) < 1e-3 * max(1, got[k])
 
 
+def test_counts_that_fill_many_blocks(spark):
+    import numpy as np
+
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(TRAIN)], "doc_id long, text string, lang string")
+    texts = ["abab", "dcd", "qé", "é abba cdcd", "", "a" * 300]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for order in (1, 3):
+        whole, cut = langid.train(docs, order=order), langid.train(docs, order=order, max_grams=3)
+        assert len(whole.parts) == 1 and len(cut.parts) > 3 and cut.langs == ["x", "y"]
+        for text in texts:
+            got = cut.lengths(np.frombuffer(text.encode(), np.uint8), np.array([0]))[0]
+            for k, lang in enumerate(cut.langs):
+                assert abs(got[k] - brute(text, lang, order)) < 1e-3 * max(1, got[k])
+        one, many = ({r["doc_id"]: r for r in langid.predict(asked, m).collect()} for m in (whole, cut))
+        for k in range(len(texts)):
+            assert one[k]["lang_pred"] == many[k]["lang_pred"] and abs(one[k]["score"] - many[k]["score"]) < 1e-4
+
+
 def test_defined_cases(spark):
     docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(TRAIN)], "doc_id long, text string, lang string")
     trees = langid.train(docs)
