@@ -12,8 +12,10 @@ and stops when everything outside the largest component was compared, so a famil
 A family too large for a task (``max_docs`` or ``max_shingles``) is searched in blocks instead: in every tree its
 documents are sorted and cut into blocks that overlap by half, each of which is searched in the same way. The
 fuller a region, the longer the prefix that the documents of a block share. Blocks of all trees chain the
-copies of a very large family together; a link between two documents that share no block of any tree counts
-only through others. Exact copies (equal shingle sets) are one document throughout.
+copies of a very large family together. What they leave apart is then joined exactly: linked documents share one
+of their rarest shingles (a prefix of the set, rarest first, as long as the rule may miss shingles), so documents of
+different components are joined on those, bounded by the places of what they share, and verified on full sets.
+So the rule holds in a family of any size. Exact copies (equal shingle sets) are one document throughout.
 
 Two documents are linked if the intersection of their sets is at least ``percent`` hundredths of the union.
 
@@ -30,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custofold.llm.common import WordHashes, binaries, documents_of, mix, stored, trimmed, words_of
@@ -42,6 +44,8 @@ PREFIX = HASHES // TREES
 NEIGHBOURS = 3
 MAX_DOCS, MAX_SHINGLES = 4096, 4_000_000
 BLOCK = 128
+#: Holders of a shingle that one task pairs with all others.
+HOLDERS = 2048
 
 
 def shingles(words: list[bytes], size: int, hashes: WordHashes) -> np.ndarray:
@@ -248,23 +252,93 @@ def overlapping_blocks(rows: DataFrame, max_docs: int, max_shingles: int) -> Dat
     return rows.mapInArrow(run, "grp string, doc_id long")
 
 
-def fitting_groups(members: DataFrame, trees: DataFrame, max_docs: int, max_shingles: int) -> DataFrame:
-    """Families that fit into a task as they are; the others in blocks of every tree.
-
-    ``members`` has ``family``, ``doc_id`` and ``n_shingles``; ``trees`` the rows of ``tree_rows``.
-    """
+def sized_families(members: DataFrame, max_docs: int, max_shingles: int) -> DataFrame:
+    """The members, and whether their family fits into a task (``fit``)."""
     fits = members.groupBy("family").agg(
         ((F.count(F.lit(1)) <= max_docs) & (F.sum("n_shingles") <= max_shingles)).alias("fit")
     )
-    sized = stored(members.join(fits, "family"))
+    return stored(members.join(fits, "family"))
+
+
+def fitting_groups(sized: DataFrame, trees: DataFrame, max_docs: int, max_shingles: int) -> DataFrame:
+    """Families that fit into a task as they are; the others in blocks of every tree.
+
+    ``sized`` has ``family``, ``doc_id``, ``n_shingles`` and ``fit``; ``trees`` the rows of ``tree_rows``.
+    """
     whole = sized.where("fit").select(F.col("family").cast("string").alias("grp"), "doc_id")
     rest = sized.where("NOT fit").select("family", "doc_id", "n_shingles").join(trees, "doc_id")
-    ranges = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["family", "place", "order", "doc_id"]
     dealt = rest.repartitionByRange(ranges, *order[:3]).sortWithinPartitions(*order)
     return whole.unionByName(overlapping_blocks(dealt, max_docs, max_shingles))
 
 
+def links_across(members: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """All links of two documents of one family with different labels (``family``, ``doc_id``, ``label``).
+
+    A document has ``percent`` hundredths of its shingles at least in common with one that it is linked with, so
+    the two share a shingle among the rarest of either, if those are one more than the others. No family,
+    shingle or document has to fit into a task: holders of a shingle meet in salted parts.
+    """
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            packed = [shingles(w, words, hashes).tobytes() for w in words_of(batch.column("text"))]
+            named = [batch.column(n) for n in ("family", "label", "doc_id")]
+            yield pa.RecordBatch.from_arrays([*named, binaries(packed)], names=["family", "label", "doc_id", "own"])
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("family", "label", "doc_id")]
+            for k, packed in enumerate(batch.column("own").to_pylist()):
+                own = np.frombuffer(packed, np.int64)
+                columns = [np.full(len(own), c[k]) for c in named]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, columns), pa.array(np.full(len(own), len(own))), pa.array(own)],
+                    names=["family", "label", "doc_id", "n", "shingle"],
+                )
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column("own_a").to_pylist(), batch.column("own_b").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    read = documents_of(docs).hint("merge").join(members, "doc_id").select("family", "label", "doc_id", "text")
+    sets = read.mapInArrow(trimmed(sets_of), "family long, label long, doc_id long, own binary")
+    own = stored(sets.groupBy("doc_id").agg(F.min(F.struct("own", "family", "label")).alias("x")).select("doc_id", "x.*"))
+    held = own.mapInArrow(rows_of, "family long, label long, doc_id long, n long, shingle long")
+    known = held.groupBy("family", "shingle").agg(
+        F.count(F.lit(1)).alias("holders"), (F.min("label") < F.max("label")).alias("across")
+    )
+    rarest = Window.partitionBy("doc_id").orderBy("holders", "shingle")
+    ranked = held.join(known, ["family", "shingle"]).withColumn("at", F.row_number().over(rarest))
+    begins = stored(ranked.where(f"across AND at <= n - ({percent} * n + 99) div 100 + 1"))
+    parts = F.ceil(F.col("holders") / HOLDERS).cast("int")
+
+    def side(name: str, salt: Column) -> DataFrame:
+        named = [F.col(c).alias(f"{c}_{name}") for c in ("label", "n", "at")]
+        return begins.select("family", "shingle", F.col("doc_id").alias(name), *named, salt.alias("salt"))
+
+    met = side("a", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).join(
+        side("b", F.explode(F.sequence(F.lit(0), parts - 1))), ["family", "shingle", "salt"]
+    )
+    pairs = (
+        met.where(f"a < b AND label_a <> label_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        .groupBy("a", "b", "n_a", "n_b")
+        .agg(F.count(F.lit(1)).alias("c"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"))
+        # Beyond the last shingle that they share here, they share no more than either has left.
+        .where(f"{100 + percent} * (c + least(n_a - at_a, n_b - at_b)) >= {percent} * (n_a + n_b)")
+        .select("a", "b")
+    )
+    first, second = (own.select(F.col("doc_id").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "own_a", "own_b").mapInArrow(verified, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -284,9 +358,20 @@ def near_duplicates(
     named = families.select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     heads = families.select(F.col("component").alias("doc_id"), F.col("component").alias("family")).distinct()
     members = stored(named.unionByName(heads).join(distinct.select("doc_id", "n_shingles"), "doc_id"))
-    groups = fitting_groups(members, trees, max_docs, max_shingles)
-    links = search_groups(groups, docs.where("doc_id IS NOT NULL"), words, percent)
-    merged = components(links)
+    sized = sized_families(members, max_docs, max_shingles)
+    groups = fitting_groups(sized, trees, max_docs, max_shingles)
+    named_docs = docs.where("doc_id IS NOT NULL")
+    links = search_groups(groups, named_docs, words, percent)
+    large = sized.where("NOT fit").select("family", "doc_id")
+    if large.isEmpty():
+        merged = components(links)
+    else:
+        links = stored(links)
+        labels = components(links).select(F.col("node").alias("doc_id"), F.col("component"))
+        labelled = large.distinct().join(labels, "doc_id", "left").select(
+            "family", "doc_id", F.coalesce("component", "doc_id").alias("label")
+        )
+        merged = components(links.unionByName(links_across(labelled, named_docs, words, percent)))
     reached = distinct.select("high", "low", F.col("doc_id").alias("node")).join(merged, "node", "left").select(
         "high", "low", F.coalesce("component", "node").alias("found")
     )

@@ -68,6 +68,20 @@ def test_families_too_large_for_a_task_are_split_by_depth(spark):
     assert sorted(tuple(r) for r in got) == brute(rows, 3, 85)
 
 
+def test_links_of_a_large_family_that_share_no_block(spark, monkeypatch):
+    monkeypatch.setattr(forest, "HOLDERS", 16, raising=False)
+    rnd = random.Random(7)
+    base = [f"w{k}" for k in range(400)]
+    texts = []
+    for _ in range(150):  # pairs near the threshold, and about as near to the pairs of others
+        own = [f"x{rnd.randrange(10**6)}" if rnd.random() < 0.03 else w for w in base]
+        other = list(own)
+        for k in rnd.sample(range(400), 9):
+            other[k] = f"y{rnd.randrange(10**6)}"
+        texts += [" ".join(own), " ".join(other)]
+    check(spark, list(enumerate(texts)), 3, 85, max_docs=4)
+
+
 def test_rows_without_id_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (1, "a b c d"), (2, "a b c d")], "doc_id long, text string")
     got = sorted((tuple(r) for r in forest.near_duplicates(docs).collect()), key=repr)
