@@ -11,7 +11,7 @@ containers hold it. Texts never move; ``keep_lines`` applies a bitmap to its tex
 
 Defined cases: a null or empty text is one empty line. Rows that share a ``doc_id`` count as one document and
 are judged alike, each by its own lines. A row without ``doc_id`` is no document: it counts for nothing and
-keeps all its lines. Hashes have 128 bits.
+keeps all its lines. Hashes have 128 bits: two of 64, one by xxhash64 of the key and one of its md5.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def long_lines(text: Column, min_chars: int) -> Column:
             F.transform(
                 F.array(low),
                 lambda k: F.struct(
-                    pos.cast("int").alias("pos"), F.xxhash64(k).alias("a"), F.xxhash64(k, F.lit(1)).alias("b")
+                    pos.cast("int").alias("pos"), F.xxhash64(k).alias("a"), F.xxhash64(F.md5(k)).alias("b")
                 ),
             )[0],
         )

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from custofold.llm import lines
@@ -54,5 +55,27 @@ def test_a_line_that_most_documents_hold(spark):
     check(spark, [(i, f"the common line\nown line {i}") for i in range(3000)], 5, 5)
 
 
+def colliding_lines():
+    """Two lines of 64 bytes with the same xxhash64: the fifth word makes up for another first one."""
+    p1, p2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
+    back = np.uint64(pow(int(p2), -1, 2**64))
+    chars = np.array([c for c in range(33, 127) if not 65 <= c <= 90], np.uint8)
+    first = np.random.default_rng(1).choice(chars, (1_000_000, 8))
+    with np.errstate(over="ignore"):
+        sums = np.uint64(42) + p1 + p2 + first.view("<u8").ravel() * p2
+        lane = ((sums << np.uint64(31)) | (sums >> np.uint64(33))) * p1
+        fifth = np.frombuffer(b"abcdefgh", "<u8")[0] + (lane[0] - lane) * back
+    fits = np.isin(fifth.view(np.uint8).reshape(-1, 8), chars).all(axis=1)
+    other = np.flatnonzero(fits)[1]
+    return [(first[k].tobytes() + b"-" * 24 + fifth[k].tobytes() + b"-" * 24).decode() for k in (0, other)]
+
+
+def test_lines_that_collide_in_one_hash(spark):
+    one, two = colliding_lines()
+    frame = spark.createDataFrame([(one, two)], "a string, b string")
+    assert one != two and frame.where(F.xxhash64("a") == F.xxhash64("b")).count() == 1
+    check(spark, [(1, one), (2, one), (3, two)], 5, 3)
+
+
 def test_empty_table(spark):
     check(spark, [])
