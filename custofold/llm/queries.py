@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, toxicity
+from custofold.llm import align, bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, toxicity
 from custofold.llm.common import documents_of, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,13 @@ def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 words or more that documents share, tolerant of small changes."""
     return passages.shared_passages(table(spark, folder, "documents"))
+
+
+@query()
+def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE and sentencepiece tokens of every text aligned by the bytes where they end."""
+    docs = table(spark, folder, "documents")
+    made = align.align(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"), digest=True)
+    return made.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
