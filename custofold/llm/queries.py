@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import align, bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, toxicity
-from custofold.llm.common import documents_of, in_fold
+from custofold.llm import align, bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, shards, toxicity
+from custofold.llm.common import documents_of, in_fold, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -198,3 +198,12 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFram
     return made.select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
     )
+
+
+@query()
+def op12_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text in binary shards by ascending id, read back through the perfect hash index."""
+    docs = table(spark, folder, "documents")
+    written = shards.write(docs, shared_folder(spark), tokenizer_file(), end_id=0)
+    made = shards.read(docs.select("doc_id"), written)
+    return made.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
