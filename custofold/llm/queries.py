@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custofold.llm import align, bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, shards, toxicity
+from custofold.llm import align, bpe, brown, chat, decontam, forest, hamming, langid, lines, passages, rtree, shards, toxicity
 from custofold.llm.common import documents_of, in_fold, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,36 @@ def op12_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     written = shards.write(docs, shared_folder(spark), tokenizer_file(), end_id=0)
     made = shards.read(docs.select("doc_id"), written)
     return made.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("""
+WITH points AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM points a JOIN points b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10""")
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that score from 30 to 90 % of a positive, for every hundredth vector."""
+
+    def whole(x: Column) -> Column:
+        x = x.cast("double")
+        return F.when(F.abs(x) < float("inf"), F.floor(256 * x))  # NaN is larger than all numbers here
+
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(
+        rtree.points(rows, "vec_id", moved, F.transform("embedding", whole)), F.col("vec_id") % 100 == 0
+    )
