@@ -218,9 +218,8 @@ def align_piece(values: list[str], path_a: str, path_b: str, digest: bool) -> di
     matched = np.zeros(len(a.ends), bool), np.zeros(len(b.ends), bool)
     matched[0][ia], matched[1][ib] = True, True
     n_groups, _, written_groups = group_texts(a, b, *matched)
-    numbers = np.asarray(a.ids, np.int64)[ia] << SHIFT | np.asarray(b.ids, np.int64)[ib]
-    packed = numbers.astype("<u8").view("<u4").reshape(-1, 2)
-    # the high half of a pair is small: both halves apart compress best, and each link keeps its eight bytes
+    width = 2 if max(len(c.bytes_of) for c in coders) <= 1 << 16 else 4
+    linked = [np.asarray(side.ids)[i].astype(f"<u{width}") for side, i in ((a, ia), (b, ib))]
     at = np.searchsorted(ia, a.offsets)
     return {
         "n_a": np.diff(a.offsets),
@@ -230,19 +229,22 @@ def align_piece(values: list[str], path_a: str, path_b: str, digest: bool) -> di
         "groups": [
             (hashlib.sha256(g).hexdigest() if digest and len(g) else str(g, "ascii")) for g in written_groups
         ],
-        "links": [packed[x:y].T.tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)],
+        "links": [
+            bytes([width]) + b"".join(ids[x:y].tobytes() for ids in linked)
+            for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+        ],
     }
 
 
 def pairs_of(links: bytes | memoryview) -> np.ndarray:
-    """The id pairs of one document's links as numbers."""
-    low, high = np.frombuffer(links, "<u4").reshape(2, -1).astype(np.int64)
-    return high << 32 | low
+    """The id pairs of one document's links as numbers: packed are the bytes an id, the first ids, the second ids."""
+    first, second = np.frombuffer(links, f"<u{links[0]}", offset=1).reshape(2, -1).astype(np.int64)
+    return first << SHIFT | second
 
 
 def all_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of all rows one after the other, and where each row begins."""
-    rows = [pairs_of(v.as_buffer()) if v.is_valid else np.empty(0, np.int64) for v in column]
+    rows = [pairs_of(memoryview(v.as_buffer())) if v.is_valid else np.empty(0, np.int64) for v in column]
     return np.concatenate([*rows, np.empty(0, np.int64)]), np.cumsum([0, *map(len, rows)])
 
 
