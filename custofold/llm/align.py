@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from custofold.llm.bpe import coder
 from custofold.llm.common import documents_of, stored, texts, trimmed
@@ -40,21 +41,23 @@ CHUNK_LINKS = 2_000_000
 #: A pair of ids in one number: the second id in the low bits.
 SHIFT = 20
 
+PER_DOCUMENT = ("n_a", "n_b", "n_groups", "n_links")
+#: A row for each piece: its documents' numbers, and all their links, packed (``pack``).
 ALIGNED = T.StructType(
     [
         T.StructField("chunk", T.LongType()),
-        T.StructField("doc_id", T.LongType()),
-        *[T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")],
-        T.StructField("groups", T.StringType()),
+        *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("doc_id", *PER_DOCUMENT)],
+        T.StructField("groups", T.ArrayType(T.StringType())),
         T.StructField("links", T.BinaryType()),
     ]
 )
 COUNTED = T.StructType(
     [
-        *[f for f in ALIGNED.fields if f.name not in ("chunk", "links")],
+        *[T.StructField(n, T.LongType()) for n in ("doc_id", *PER_DOCUMENT)],
+        T.StructField("groups", T.StringType()),
         T.StructField("n_best", T.LongType()),
         T.StructField("count_sum", T.LongType()),
-        T.StructField("links", T.BinaryType()),
+        T.StructField("links", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -218,8 +221,7 @@ def align_piece(values: list[str], path_a: str, path_b: str, digest: bool) -> di
     matched = np.zeros(len(a.ends), bool), np.zeros(len(b.ends), bool)
     matched[0][ia], matched[1][ib] = True, True
     n_groups, _, written_groups = group_texts(a, b, *matched)
-    width = 2 if max(len(c.bytes_of) for c in coders) <= 1 << 16 else 4
-    linked = [np.asarray(side.ids)[i].astype(f"<u{width}") for side, i in ((a, ia), (b, ib))]
+    numbers = np.asarray(a.ids, np.int64)[ia] << SHIFT | np.asarray(b.ids, np.int64)[ib]
     at = np.searchsorted(ia, a.offsets)
     return {
         "n_a": np.diff(a.offsets),
@@ -229,23 +231,27 @@ def align_piece(values: list[str], path_a: str, path_b: str, digest: bool) -> di
         "groups": [
             (hashlib.sha256(g).hexdigest() if digest and len(g) else str(g, "ascii")) for g in written_groups
         ],
-        "links": [
-            bytes([width]) + b"".join(ids[x:y].tobytes() for ids in linked)
-            for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
-        ],
+        "links": numbers,
     }
 
 
-def pairs_of(links: bytes | memoryview) -> np.ndarray:
-    """The id pairs of one document's links as numbers: packed are the bytes an id, the first ids, the second ids."""
-    first, second = np.frombuffer(links, f"<u{links[0]}", offset=1).reshape(2, -1).astype(np.int64)
-    return first << SHIFT | second
+def pack(links: np.ndarray) -> bytes:
+    """Links in few bytes: the distinct pairs, commonest first, and the place of each link's pair among them."""
+    pairs, place, n = np.unique(links, return_inverse=True, return_counts=True)
+    first = np.argsort(-n, kind="stable")
+    rank = np.empty(len(pairs), np.int64)
+    rank[first] = np.arange(len(pairs))
+    width = 2 if len(pairs) <= 1 << 16 else 4
+    raw = pairs[first].astype("<u8").tobytes() + rank[place].astype(f"<u{width}").tobytes()
+    return np.array([len(pairs), len(links)], "<u8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def all_pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of all rows one after the other, and where each row begins."""
-    rows = [pairs_of(memoryview(v.as_buffer())) if v.is_valid else np.empty(0, np.int64) for v in column]
-    return np.concatenate([*rows, np.empty(0, np.int64)]), np.cumsum([0, *map(len, rows)])
+def unpack(packed: bytes | memoryview) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, and the place among them of every link."""
+    n_pairs, n_links = np.frombuffer(packed, "<u8", 2).tolist()
+    width = 2 if n_pairs <= 1 << 16 else 4
+    raw = pa.decompress(packed[16:], 8 * n_pairs + width * n_links, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, "<i8", n_pairs), np.frombuffer(raw, f"<u{width}", n_links, 8 * n_pairs)
 
 
 def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -259,7 +265,8 @@ def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def links(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
-    """``ALIGNED`` for every document, dealt into chunks of about ``CHUNK_LINKS`` links."""
+    """``ALIGNED`` for all documents, piece by piece, dealt into chunks of about ``CHUNK_LINKS`` links."""
+    kinds = to_arrow_schema(ALIGNED).types
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = TaskContext.get().partitionId() << 32, 0
@@ -269,10 +276,14 @@ def links(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> Da
                 if held > CHUNK_LINKS:
                     chunk, held = chunk + 1, 0
                 held += int(np.sum(made["n_links"]))
-                columns = {"chunk": [chunk] * piece.num_rows, "doc_id": piece.column("doc_id"), **made}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[n]) if n != "doc_id" else columns[n] for n in ALIGNED.names], names=ALIGNED.names
-                )
+                row = [
+                    [chunk],
+                    [piece.column("doc_id").to_pylist()],
+                    *([np.asarray(made[n]).tolist()] for n in PER_DOCUMENT),
+                    [made["groups"]],
+                    [pack(made["links"])],
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds, strict=True)], names=ALIGNED.names)
 
     whole = documents_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return whole.mapInArrow(trimmed(run), ALIGNED)
@@ -295,13 +306,10 @@ def chunk_counts(linked: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            chunks = np.asarray(batch.column("chunk"))
-            for begin in range(0, batch.num_rows, 200):
-                pairs, offsets = all_pairs(batch.column("links").slice(begin, 200))
-                own = np.repeat(chunks[begin : begin + 200], np.diff(offsets))
-                for chunk in np.unique(own).tolist():
-                    held.setdefault(chunk, []).append(pairs[own == chunk])
-                size += len(pairs)
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("links"), strict=True):
+                pairs, place = unpack(memoryview(packed.as_buffer()))
+                held.setdefault(chunk, []).append(pairs[place])
+                size += len(place)
                 if size > 2 * CHUNK_LINKS:
                     yield from counted()
                     size = 0
@@ -319,39 +327,38 @@ def corpus_counts(partial: DataFrame) -> DataFrame:
     return joined.select("pair", "total", (F.col("total") == F.col("top")).alias("best"))
 
 
-def with_counts(linked: DataFrame, flagged: DataFrame) -> DataFrame:
+def with_counts(linked: DataFrame, flagged: DataFrame, with_links: bool) -> DataFrame:
     """Each document's ``n_best`` and ``count_sum``; a chunk's documents meet the counts of the chunk's pairs."""
 
+    kinds = to_arrow_schema(COUNTED).types
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.combine_chunks()
-        right = right.combine_chunks()
         known = right["pair"].combine_chunks() if right.num_rows else pa.array([], pa.int64())
         total = np.concatenate([np.asarray(right["total"]), [0]]).astype(np.int64)
-        best = np.concatenate([np.asarray(right["best"].combine_chunks().to_numpy(zero_copy_only=False)), [False]])
-        n_best, count_sum = [], []
-        column = left["links"].combine_chunks() if left.num_rows else pa.array([], pa.binary())
-        for begin in range(0, left.num_rows, 500):
-            pairs, offsets = all_pairs(column.slice(begin, 500))
+        best = np.concatenate([right["best"].to_numpy(), [False]]).astype(np.int64)
+        out = []
+        for row in left.drop_columns(["links"]).to_pylist():
+            pairs, place = unpack(memoryview(left["links"][len(out)].as_buffer()))
             at = np.asarray(pc.index_in(pa.array(pairs), value_set=known).fill_null(len(total) - 1))
-            for values, out in ((total, count_sum), (best.astype(np.int64), n_best)):
-                running = np.concatenate([[0], np.cumsum(values[at])])
-                out.append(np.diff(running[offsets]))
-        empty = np.empty(0, np.int64)
-        left = left.append_column("n_best", pa.array(np.concatenate([*n_best, empty])))
-        left = left.append_column("count_sum", pa.array(np.concatenate([*count_sum, empty])))
-        return left.select(COUNTED.names)
+            offsets = np.cumsum([0, *row["n_links"]])
+            sums = [np.diff(np.concatenate([[0], np.cumsum(v[at][place])])[offsets]) for v in (best, total)]
+            links = pairs[place] if with_links else None
+            lists = [links[x:y] if with_links else None for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+            columns = [row["doc_id"], *(row[n] for n in PER_DOCUMENT), row["groups"], *sums, lists]
+            out.append(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], COUNTED.names))
+        return pa.concat_tables(out or [to_arrow_schema(COUNTED).empty_table()])
 
     return linked.groupby("chunk").cogroup(flagged.groupby("chunk")).applyInArrow(run, COUNTED)
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, digest: bool = False, with_links: bool = True) -> DataFrame:
     """One row per document: ``COUNTED``. ``groups`` is text, or with ``digest`` its sha256 ('' without tokens).
 
-    ``links`` holds the linked id pairs in order (``pairs_of`` unpacks them: first id times 2**20 plus second).
+    ``links`` holds the linked id pairs in order, the first id times 2**20 plus the second (null if not wanted).
     ``path_a`` is a byte-level BPE file (.json), ``path_b`` a sentencepiece model.
     """
     linked = stored(links(docs, path_a, path_b, digest))
     partial = stored(chunk_counts(linked))
     # a chunk that two tasks have counted names a pair twice, which does no harm
     flagged = partial.select("chunk", "pair").join(corpus_counts(partial), "pair")
-    return with_counts(linked, flagged)
+    return with_counts(linked, flagged, with_links)

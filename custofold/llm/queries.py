@@ -194,7 +194,7 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE and sentencepiece tokens of every text aligned by the bytes where they end."""
     docs = table(spark, folder, "documents")
-    made = align.align(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"), digest=True)
+    made = align.align(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"), digest=True, with_links=False)
     return made.select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
     )
