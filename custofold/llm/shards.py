@@ -47,7 +47,8 @@ from custofold.llm.common import texts, trimmed
 SHARD_TOKENS = 1 << 25
 KEYS_PER_PART = 1 << 15
 PIECE_BYTES = 1_000_000
-READ_TOKENS = 1_000_000
+READ_TOKENS = 500_000
+TASK_TOKENS = 4_000_000
 FOOTER = struct.Struct("<QQQQ")
 NO_KEY = 0xFFFFFFFF
 ENTRY = np.dtype(
@@ -437,7 +438,9 @@ def fetch(places: DataFrame, written: Written, key: str = "doc_id") -> DataFrame
             yield together()
 
     named = places.join(written.shards.select("shard", "path", "start"), "shard")
-    along = named.repartitionByRange("shard", "begin").sortWithinPartitions("shard", "begin")
+    # places are small, what they stand for is not: tasks by the ids to read
+    tasks = -(-(written.shards.agg(F.sum("tokens")).first()[0] or 1) // TASK_TOKENS)
+    along = named.repartitionByRange(tasks, "shard", "begin").sortWithinPartitions("shard", "begin")
     return along.select(key, "path", "start", "begin", "tokens", "doc", "docs").mapInArrow(trimmed(run), out)
 
 
