@@ -1,7 +1,13 @@
 """DataFrame operators; each takes frames and returns a lazy frame."""
 
 from custofold.operators.embed import assemble, attach, collect_subdocs, fold_documents, stack_values
-from custofold.operators.enrich import merge_verified, request_key, verification_requests, verification_results
+from custofold.operators.enrich import (
+    best_answers,
+    merge_verified,
+    request_key,
+    verification_requests,
+    verification_results,
+)
 from custofold.operators.lookup import Lookup, lookup, lookup_constant
 from custofold.operators.match import read_matching, with_match, without_match
 from custofold.operators.pick import latest_by, priority_pick
@@ -20,6 +26,7 @@ __all__ = [
     "Measured",
     "assemble",
     "attach",
+    "best_answers",
     "collect_subdocs",
     "edges_both_ends",
     "edges_oriented",

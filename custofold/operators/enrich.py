@@ -78,6 +78,27 @@ def verification_results(
     )
 
 
+def best_answers(verified: DataFrame, key: str = "request_key") -> DataFrame:
+    """One answer for every key, where a service was asked twice and said different things.
+
+    An answer with a match code comes before one without, then the higher percentage and mail score count, then
+    the smaller texts, so the choice depends on the answers alone. Answers without a key go.
+    """
+    def number(name: str) -> Column:
+        return F.coalesce(F.expr(f"try_cast({name} AS double)"), F.lit(float("-inf")))
+
+    fields = [c for c in verified.columns if c != key]
+    code = F.col("match_code")
+    rank = F.struct(
+        (code.isNull() | (code == "?")).alias("unmatched"),
+        (-number("result_percent")).alias("percent"),
+        (-number("mail_score")).alias("score"),
+        *fields,
+    )
+    best = verified.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(rank).alias("__best"))
+    return best.select(*[F.col(key) if c == key else F.col(f"__best.{c}") for c in verified.columns])
+
+
 def merge_verified(addresses: DataFrame, verified: DataFrame, key: str = "request_key", prefix: str = "verified_") -> DataFrame:
     """Verified fields beside each address, NULL where nothing came back; a lone ``?`` counts as nothing.
 

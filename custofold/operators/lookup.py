@@ -15,17 +15,19 @@ BLOCKED_ACTIONS = ("STOP", "BLOCK")
 
 @dataclass(frozen=True)
 class Lookup:
-    """The usable rows of a value-set table, and whether they were measured to fit a broadcast."""
+    """The usable rows of a value-set table, whether they were measured to fit a broadcast, and how many rows
+    (unusable ones too) the table lists."""
 
     rows: DataFrame
     small: bool
+    listed: int
 
     @classmethod
     def of(cls, table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Lookup:
-        rows = table.where(~F.col("OUT_ACTION_CODE").isin(*BLOCKED_ACTIONS)).select(
-            "VALUE_SET_NAME", "COLUMN_1_STRING_VALUE", "VSL_LKP_VALUE"
-        )
-        return cls(rows, measure(rows).small(max_bytes))
+        usable = ~F.col("OUT_ACTION_CODE").isin(*BLOCKED_ACTIONS)
+        rows = table.where(usable).select("VALUE_SET_NAME", "COLUMN_1_STRING_VALUE", "VSL_LKP_VALUE")
+        size = measure(table.select(*rows.columns, usable.alias("__usable")), "__usable")
+        return cls(rows, size.small(max_bytes), size.listed)
 
     def hinted(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.small else df

@@ -25,6 +25,7 @@ class Measured:
     frame: DataFrame
     rows: int
     text_bytes: int
+    listed: int = 0
 
     def small(self, max_bytes: int = BROADCAST_BYTES) -> bool:
         # 16 bytes per row stand for the fixed part of a row in the broadcast hash table.
@@ -35,11 +36,21 @@ class Measured:
         return F.broadcast(self.frame) if self.small(max_bytes) else self.frame
 
 
-def measure(df: DataFrame) -> Measured:
-    """Row count and text size of a frame, in one job with a one-row result."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
-    return Measured(df, row["n"], row["b"] or 0)
+def measure(df: DataFrame, where: str | None = None) -> Measured:
+    """Row count and text size of a frame, in one job with a one-row result.
+
+    With the name of a boolean column as ``where``, of the rows where it is true; ``listed`` counts all rows.
+    """
+    counted = [c for c in df.columns if c != where]
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in counted), F.lit(0))
+    taken = F.lit(True) if where is None else F.col(where)
+    row = df.agg(
+        F.count(F.lit(1)).alias("listed"),
+        F.count_if(taken).alias("n"),
+        F.sum(F.when(taken, width.cast("long"))).alias("b"),
+    ).first()
+    frame = df if where is None else df.where(where).select(*counted)
+    return Measured(frame, row["n"], row["b"] or 0, row["listed"])
 
 
 def on_renamed(keys: Sequence[str]) -> Column:

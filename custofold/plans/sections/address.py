@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from custofold.functions import blank_to, clean, code_concat, newest, typed_null, value_if
 from custofold.operators import (
     Lookup,
+    best_answers,
     latest_by,
     lookup,
     lookup_constant,
@@ -77,8 +78,8 @@ def address_requests(rows: DataFrame) -> DataFrame:
 
 
 def with_verified_lines(rows: DataFrame, verified: DataFrame) -> DataFrame:
-    """The rows with the five lines of the answer in place of their own where an answer has a match code."""
-    merged = merge_verified(rows.withColumn("request_key", request_key(*POSTAL_LINES)), verified)
+    """The rows with the five lines of the best answer in place of their own where it has a match code."""
+    merged = merge_verified(rows.withColumn("request_key", request_key(*POSTAL_LINES)), best_answers(verified))
     known = F.col("verified_match_code").isNotNull()
     lines = {c: F.when(known, F.col(f"verified_{c}")).otherwise(F.col(c)) for c in POSTAL_LINES[:5]}
     return merged.withColumns(lines).select(*rows.columns)

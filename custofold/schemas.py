@@ -101,6 +101,15 @@ KIND = "CHANGE_KIND"
 INSERTED, CHANGED = "insert", "change"
 STAGED = T.StructType([*LANDING.fields, T.StructField(KIND, T.StringType())])
 
+# What one parse of a landing file leaves in the stage: usable records, and others with the reason and their text.
+BROKEN, REASON, RECORD = "BROKEN_LINE", "REASON", "RECORD"
+LOAD = "LOAD_ID"
+LOADED = T.StructType([*STAGED.fields, *strings([RECORD, REASON, LOAD]).fields])
+RECORDS = T.StructType([*LANDING.fields, T.StructField(BROKEN, T.StringType())])
+
+# The batch whose run has written a row; writing a batch again replaces what it had written.
+BATCH = "BATCH_ID"
+
 LOOKUP = strings(["VALUE_SET_NAME", "COLUMN_1_STRING_VALUE", "VSL_LKP_VALUE", "OUT_ACTION_CODE"])
 
 AUDIT = T.StructType(

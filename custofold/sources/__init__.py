@@ -1,6 +1,6 @@
 """Where rows come from and go to."""
 
-from custofold.sources.audit import audit_append, audit_rows, section_statuses
+from custofold.sources.audit import audit_append, audit_rows, section_statuses, statuses_of
 from custofold.sources.landing import (
     conform,
     dataset_columns,
@@ -12,6 +12,9 @@ from custofold.sources.landing import (
     split_all,
     split_by_tag,
     stage_batch,
+    stage_load,
+    staged_records,
+    store_rejects,
     usable_records,
     with_reason,
 )
@@ -35,6 +38,10 @@ __all__ = [
     "split_all",
     "split_by_tag",
     "stage_batch",
+    "stage_load",
+    "staged_records",
+    "statuses_of",
+    "store_rejects",
     "usable_records",
     "with_reason",
 ]

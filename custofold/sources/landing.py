@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from custofold.schemas import CHANGED, DATASETS, FLAG, INSERT_FLAG, INSERTED, KIND, LANDING, STAGED, TAG, Tags
+from custofold.schemas import (
+    BATCH,
+    BROKEN,
+    CHANGED,
+    DATASETS,
+    FLAG,
+    INSERT_FLAG,
+    INSERTED,
+    KIND,
+    LANDING,
+    LOAD,
+    LOADED,
+    REASON,
+    RECORD,
+    RECORDS,
+    STAGED,
+    TAG,
+    Tags,
+)
 from custofold.sources.store import Store
 
 
@@ -15,23 +33,18 @@ def read_landing(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     return spark.read.schema(schema).json(path).where(F.col(TAG).isNotNull())
 
 
-BROKEN = "BROKEN_LINE"
-REASON = "REASON"
-
-
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All records of JSON lines files, also those that nothing can be done with; a malformed line is kept as text."""
-    schema = T.StructType([*LANDING.fields, T.StructField(BROKEN, T.StringType())])
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", BROKEN).json(path)
+    return spark.read.schema(RECORDS).option("columnNameOfCorruptRecord", BROKEN).json(path)
 
 
 def with_reason(records: DataFrame, tags: Tags) -> DataFrame:
     """The records of ``read_records`` with the reason for which a run cannot use them (NULL: it can)."""
     reason = (
-        F.when(F.col(BROKEN).isNotNull(), "malformed line")
-        .when(F.col(TAG).isNull(), "no tag")
-        .when(~F.col(TAG).isin(*tags.values.values()), "unknown tag")
-        .when(F.col(FLAG).isNull(), "no event flag")
+        F.when(F.col(BROKEN).isNotNull(), MALFORMED)
+        .when(F.col(TAG).isNull(), NO_TAG)
+        .when(~F.col(TAG).isin(*tags.values.values()), UNKNOWN_TAG)
+        .when(F.col(FLAG).isNull(), NO_FLAG)
     )
     for name, spec in DATASETS.items():
         for column in spec.required:
@@ -39,6 +52,10 @@ def with_reason(records: DataFrame, tags: Tags) -> DataFrame:
     return records.withColumn(REASON, reason)
 
 
+MALFORMED, NO_TAG, UNKNOWN_TAG, NO_FLAG = "malformed line", "no tag", "unknown tag", "no event flag"
+REASONS = sorted({MALFORMED, NO_TAG, UNKNOWN_TAG, NO_FLAG, *(f"no {c}" for d in DATASETS.values() for c in d.required)})
+
+
 def usable_records(judged: DataFrame) -> DataFrame:
     """The records that a run can use."""
     return judged.where(F.col(REASON).isNull()).drop(REASON, BROKEN)
@@ -46,8 +63,11 @@ def usable_records(judged: DataFrame) -> DataFrame:
 
 def rejected_records(judged: DataFrame) -> DataFrame:
     """``REASON`` and the record as text of all others."""
-    whole = F.coalesce(BROKEN, F.to_json(F.struct(*LANDING.names)))
-    return judged.where(F.col(REASON).isNotNull()).select(REASON, whole.alias("RECORD"))
+    return judged.where(F.col(REASON).isNotNull()).select(REASON, _whole().alias(RECORD))
+
+
+def _whole() -> Column:
+    return F.coalesce(BROKEN, F.to_json(F.struct(*LANDING.names)))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -68,22 +88,57 @@ def empty_dataset(spark: SparkSession, dataset: str) -> DataFrame:
     return spark.createDataFrame([], DATASETS[dataset].schema)
 
 
+def _kind() -> Column:
+    inserted = F.col(FLAG) == INSERT_FLAG
+    return F.when(inserted, INSERTED).when(~inserted, CHANGED)
+
+
+LOAD_PARTS = [LOAD, REASON, TAG, KIND]
+
+
+def stage_load(store: Store, records: DataFrame, table: str, tags: Tags, load: str, again: bool = False) -> dict[str, int]:
+    """Stage one load of records, usable and refused ones, in one pass; how many there are of each reason ('': usable).
+
+    The records are parsed once: the write sorts them out by load, reason, tag and kind into folders, and the
+    counts are observed while it runs. With ``again`` the folders of this load are replaced, so that a
+    load that is staged a second time is there once; else rows are added.
+    """
+    bad = F.col(REASON).isNotNull()
+    rows = with_reason(records, tags).withColumns({RECORD: F.when(bad, _whole()), KIND: F.when(~bad, _kind())})
+    rows = rows.withColumns({TAG: F.when(~bad, F.col(TAG)), LOAD: F.lit(load)}).select(*LOADED.names)
+    seen = Observation(f"load {load}")
+    counts = [F.count_if(F.col(REASON) == r).alias(r) for r in REASONS]
+    rows = rows.observe(seen, F.count_if(F.col(REASON).isNull()).alias("usable"), *counts)
+    (store.replace if again else store.append)(rows, table, LOAD_PARTS)
+    found = seen.get
+    return {"": found["usable"], **{r: found[r] for r in REASONS if found[r]}}
+
+
+def staged_records(store: Store, table: str) -> DataFrame:
+    """The usable records that ``stage_load`` has left in the stage."""
+    return store.read(table, LOADED).where(F.col(REASON).isNull()).select(*STAGED.names)
+
+
+def store_rejects(store: Store, stage: str, table: str, batch: int) -> None:
+    """The refused records of the stage as the rejects of a batch; storing them again replaces them."""
+    refused = store.read(stage, LOADED).where(F.col(REASON).isNotNull()).select(REASON, RECORD)
+    store.replace(refused.withColumn(BATCH, F.lit(batch)), table, [BATCH])
+
+
 def stage_batch(store: Store, batch: DataFrame, table: str) -> DataFrame:
     """Add the batch's tagged records to the stage and return all that is staged.
 
     The stage still holds what a failed run left behind, so nothing is lost and nothing is taken twice.
     Files are partitioned by tag and by insert or change: each later read opens only what it needs.
     """
-    inserted = F.col(FLAG) == INSERT_FLAG
-    kind = F.when(inserted, INSERTED).when(~inserted, CHANGED)
-    rows = conform(batch, LANDING).where(F.col(TAG).isNotNull()).withColumn(KIND, kind)
+    rows = conform(batch, LANDING).where(F.col(TAG).isNotNull()).withColumn(KIND, _kind())
     store.append(rows, table, [TAG, KIND])
     return store.read(table, STAGED)
 
 
-def reset_stage(store: Store, table: str) -> None:
-    """Empty the stage; called once the documents of all its records are stored."""
-    store.clear(table, STAGED, [TAG, KIND])
+def reset_stage(store: Store, table: str, loads: bool = False) -> None:
+    """Empty the stage; called once the documents of all its records are stored. ``loads``: it is one of ``stage_load``."""
+    store.clear(table, LOADED if loads else STAGED, LOAD_PARTS if loads else [TAG, KIND])
 
 
 def dataset_columns(rows: DataFrame, dataset: str) -> DataFrame:

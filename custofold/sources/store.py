@@ -44,7 +44,9 @@ class Store:
         return f"{self.base.rstrip('/')}/{table}/v{version}"
 
     def version(self, table: str) -> int | None:
-        """The committed version of a table, None when it was never written."""
+        """The committed version of a table, None when it was never written (0 for a connector's)."""
+        if not self._versioned:
+            return 0
         try:
             log = self.spark.read.schema(LOG_SCHEMA).json(self._log(table))
         except AnalysisException as e:
@@ -73,14 +75,17 @@ class Store:
         return reader.load(self._folder(table, version))
 
     def _write(self, df: DataFrame, table: str, mode: str, version: int, partition_by: Sequence[str]) -> None:
-        writer = df.write.format(self.fmt).options(**self.options).mode(mode)
+        writer = df.write.format(self.fmt).options(**self.options)
         if not self._versioned:
+            writer.mode("append" if mode == "replace" else mode)
             writer.option(self.name_option, table).save()
             return
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         # A session set to dynamic overwrite would keep stale partitions of a failed attempt.
-        writer.option("partitionOverwriteMode", "static").save(self._folder(table, version))
+        replaced = "dynamic" if mode == "replace" else "static"
+        writer.mode("overwrite" if mode == "replace" else mode)
+        writer.option("partitionOverwriteMode", replaced).save(self._folder(table, version))
 
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Add rows to the current version; the first append creates the table."""
@@ -90,6 +95,18 @@ class Store:
         else:
             self._write(df, table, "append", version, partition_by)
 
+    def replace(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+        """Replace those partitions that the frame has rows of; the others stay. The first call creates the table.
+
+        Writing the same rows a second time changes nothing, so a step that died after its write can be repeated.
+        A connector has no partitions: there the rows are added.
+        """
+        version = self.version(table) if self._versioned else 0
+        if version is None:
+            self.overwrite(df, table, partition_by)
+        else:
+            self._write(df, table, "replace", version, partition_by)
+
     def overwrite(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Replace the table's rows; the frame may read the same table."""
         if not self._versioned:
