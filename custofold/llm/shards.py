@@ -418,14 +418,13 @@ def fetch(places: DataFrame, written: Written, key: str = "doc_id") -> DataFrame
 
         def together() -> pa.RecordBatch:
             file, first, last = held[0][0], held[0][3], held[-1][4]
-            raw = memoryview(file.ids(first, last - first).tobytes())
-            columns = [
-                [h[1] for h in held],
-                [h[2] + h[3] for h in held],
-                [h[4] - h[3] for h in held],
-                [raw[4 * (h[3] - first) : 4 * (h[4] - first)] for h in held],
-            ]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=out.names)
+            # consecutive documents: their ids are one buffer, cut by offsets
+            bounds = np.array([0, *(h[4] - first for h in held)], np.int32) * 4
+            data = pa.py_buffer(file.ids(first, last - first).tobytes())
+            columns = [[h[1] for h in held], [h[2] + h[3] for h in held], [h[4] - h[3] for h in held]]
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=False)]
+            arrays.append(pa.Array.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(bounds), data]))
+            return pa.RecordBatch.from_arrays(arrays, names=out.names)
 
         for doc in documents(batches):
             if held and (doc[0] is not held[0][0] or doc[3] != held[-1][4] or doc[4] - held[0][3] > READ_TOKENS):
