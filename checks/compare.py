@@ -8,7 +8,7 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-from checks import documents, operators  # noqa: F401  (they fill the registry)
+from checks import documents, increments, operators  # noqa: F401  (they fill the registry)
 from checks.registry import ORACLES, QUERIES
 
 TABLES = (

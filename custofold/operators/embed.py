@@ -15,22 +15,29 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custofold.operators.sizing import MAX_ITEMS, PART, place
+from custofold.operators.sizing import MAX_ITEMS, PART, place, place_bytes
 
 BASE = "__base"
 
 
 def collect_subdocs(
-    df: DataFrame, keys: Sequence[str], value: str | Column, name: str, max_items: int = MAX_ITEMS
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str | Column,
+    name: str,
+    max_items: int = MAX_ITEMS,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The distinct values of every key as one sorted array ``name`` (see the module text on ``DOC_PART``).
 
+    With ``max_bytes`` the encoded size of a part is limited (``place_bytes``) instead of the number of its values.
     Key sizes are checked by a job of their own, so pass a stored frame when the input is costly.
     """
     item = F.col(value) if isinstance(value, str) else value
     values = df.select(*keys, item.alias(name)).where(F.col(keys[0]).isNotNull())
+    placed = place(values, keys, max_items) if max_bytes is None else place_bytes(values, keys, max_bytes)
     return (
-        place(values, keys, max_items)
+        placed
         .groupBy(*keys, PART)
         .agg(F.sort_array(F.collect_set(name)).alias(name))
     )
@@ -73,16 +80,24 @@ def stack_values(base: DataFrame, sections: Mapping[str, DataFrame], keys: Seque
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def fold_documents(values: DataFrame, keys: Sequence[str], max_items: int = MAX_ITEMS) -> DataFrame:
+def fold_documents(
+    values: DataFrame, keys: Sequence[str], max_items: int = MAX_ITEMS, max_bytes: int | None = None
+) -> DataFrame:
     """Documents from stacked values: one shuffle gathers all sections at once.
 
+    With ``max_bytes`` the encoded size of a part, its base row included, is limited instead of the number of values.
+
     Every section becomes a sorted array (NULL where a document has no value in it, as after a left join). Keys
     without a base row give no document; of several base rows of a key the smallest counts. Store ``values``
     before calling this: it is read twice, the first time for its keys only.
     """
     keys = list(keys)
     sections = [c for c in values.columns if c not in (*keys, BASE)]
-    placed = place(values, keys, max_items, anchor=F.col(BASE).isNotNull())
+    anchor = F.col(BASE).isNotNull()
+    if max_bytes is None:
+        placed = place(values, keys, max_items, anchor=anchor)
+    else:
+        placed = place_bytes(values, keys, max_bytes, anchor)
     gathered = [F.min(BASE).alias(BASE), *[F.collect_set(name).alias(name) for name in sections]]
     return (
         placed.groupBy(*keys, PART)

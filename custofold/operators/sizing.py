@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -107,3 +107,78 @@ def place(
     )
     # After a shuffle join the rows of a large key sit together: spread them by part before grouping.
     return placed if crowded.small(max_bytes) else placed.repartition(*keys, PART)
+
+
+BLOCK_ROWS = 100_000
+
+
+def place_bytes(
+    values: DataFrame,
+    keys: Sequence[str],
+    max_bytes: int,
+    anchor: Column | None = None,
+    block_rows: int = BLOCK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``place`` by encoded size: ``DOC_PART`` such that the values of a part have at most ``max_bytes`` as JSON text.
+
+    Whole copies are removed. A key that fits has part 0 only. The values of a larger key are put in a row, and the
+    bytes before a value decide its part. Values of more than half the limit have parts of their own and come first;
+    with the largest of the others ``m``, a new part begins every ``max_bytes - m + 1`` bytes, so no part passes the limit.
+    Only a value that is larger than the limit by itself does.
+
+    The row is made of blocks of about ``block_rows`` values by a hash of the value: sums run inside each block, then over the
+    totals of a key's blocks, so no key, however large, is one task. ``anchor`` marks the rows that are repeated
+    on every part; their size is taken off the limit, and keys without one are left out where they are too large.
+    """
+    keys = list(keys)
+    rest = [c for c in values.columns if c not in keys]
+    held = F.lit(False) if anchor is None else anchor
+    rows = values.distinct().withColumns({"__size": F.octet_length(F.to_json(F.struct(*rest))), "__anchor": held})
+    sizes = rows.groupBy(*keys).agg(
+        F.sum("__size").alias("__all"),
+        F.count_if(~F.col("__anchor")).alias("__n"),
+        F.coalesce(F.max(F.when(F.col("__anchor"), F.col("__size"))), F.lit(0)).alias("__base"),
+        F.max("__anchor").alias("__held"),
+    )
+    room = F.greatest(F.lit(max_bytes) - F.col("__base"), F.lit(1)).alias("__room")
+    renamed = [F.col(k).alias(f"__{k}") for k in keys]
+    blocks = F.ceil(F.greatest("__n", F.lit(1)) / block_rows).alias("__blocks")
+    large = measure(sizes.where(F.col("__all") > max_bytes).select(*renamed, room, blocks, "__held"))
+    if large.rows == 0:
+        return rows.select(*values.columns, F.lit(0).alias(PART))
+    rows = rows.join(large.hinted(broadcast_bytes), on_renamed(keys), "left")
+    fitting = rows.where(F.col("__blocks").isNull()).select(*values.columns, F.lit(0).alias(PART))
+    rows = rows.where(F.col("__blocks").isNotNull() & (F.col("__held") | F.lit(anchor is None)))
+    rows = rows.drop(*[f"__{k}" for k in keys])
+
+    own = rows.where(~F.col("__anchor"))
+    big = F.col("__size") > F.col("__room") / 2
+    own = own.withColumn("__block", F.pmod(F.xxhash64(*rest), F.col("__blocks")))
+    own = own.withColumns({"__big": big.cast("long"), "__small": F.when(big, 0).otherwise(F.col("__size"))})
+    inside = Window.partitionBy(*keys, "__block").orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
+    before = {f"{c}_in": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in ("__big", "__small")}
+    totals = own.groupBy(*keys, "__block").agg(*[F.sum(c).alias(c) for c in ("__big", "__small")], F.max("__small").alias("__m"))
+    along = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    totals = totals.select(
+        *renamed,
+        F.col("__block").alias("__block_of"),
+        *[F.coalesce(F.sum(c).over(along), F.lit(0)).alias(f"{c}_before") for c in ("__big", "__small")],
+        F.sum("__big").over(whole).alias("__bigs"),
+        F.max("__m").over(whole).alias("__largest"),
+    )
+    own = own.withColumns(before).join(totals, on_renamed(keys) & (F.col("__block") == F.col("__block_of")))
+    step = F.col("__room") - F.col("__largest") + 1
+    start = F.col("__small_before") + F.col("__small_in")
+    part = F.when(F.col("__big") == 1, F.col("__big_before") + F.col("__big_in")).otherwise(
+        F.col("__bigs") + F.floor(start / step)
+    )
+    own = own.select(*values.columns, part.cast("int").alias(PART))
+    placed = fitting.unionByName(own)
+    if anchor is None:
+        return placed
+    parts = own.groupBy(*keys).agg(F.max(PART).alias("__last")).select(*renamed, "__last")
+    bases = rows.where(F.col("__anchor")).select(*values.columns).join(parts, on_renamed(keys), "left")
+    numbers = F.explode(F.sequence(F.lit(0), F.coalesce("__last", F.lit(0)))).alias(PART)
+    return placed.unionByName(bases.select(*values.columns, numbers))

@@ -20,18 +20,22 @@ from custofold.sources.landing import (
 )
 from custofold.sources.publish import publish, publish_payload
 from custofold.sources.store import Store
+from custofold.sources.template import by_template, drift, read_variants
 
 __all__ = [
     "Store",
     "audit_append",
     "audit_rows",
+    "by_template",
     "conform",
     "dataset_columns",
+    "drift",
     "empty_dataset",
     "publish",
     "publish_payload",
     "read_landing",
     "read_records",
+    "read_variants",
     "rejected_records",
     "reset_stage",
     "section_statuses",

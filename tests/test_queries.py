@@ -2,7 +2,7 @@
 
 import pytest
 
-from checks import documents, operators  # noqa: F401
+from checks import documents, increments, operators  # noqa: F401
 from checks.compare import check, connect
 from checks.registry import ORACLES, QUERIES
 
