@@ -2,7 +2,8 @@
 
 Every step is a join and an aggregation that combines before it shuffles, so a node with very many links is
 no group that has to fit anywhere; the joins are ones that adaptive execution can split. Each task first
-replaces its own links by a forest with the same components, which leaves few links to the steps.
+replaces its own links by a forest with the same components. Forests of many tasks repeat the same nodes, so they are dealt out
+by node and made forests again: then a node has one link, and the joins grow with the nodes, not with the links.
 """
 
 from __future__ import annotations
@@ -63,7 +64,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = (F.col(c).cast("long") for c in links.columns[:2])
     pairs = links.select(a.alias("a"), b.alias("b")).where("a <> b")
-    edges = stored(pairs.mapInArrow(_local, LINKS).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    forests = pairs.mapInArrow(_local, LINKS).repartition("a").mapInArrow(_local, LINKS)
+    edges = stored(forests.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
