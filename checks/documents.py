@@ -530,27 +530,31 @@ def _(t: Tables) -> DataFrame:
 VERIFIED_SQL = ADDRESS_SQL.replace(" || '~' || ".join(_postal(f"line{i}") for i in range(1, 6)), _postal("upper(line1)") + " || '~-~-~-~-'")
 
 
-@query(
-    "section_idv_src_verified",
-    f"""WITH {INDIVIDUALS}, {VSL} SELECT id AS "CUSTOMER_ID", v AS address FROM ({VERIFIED_SQL}) a""",
-)
-def _(t: Tables) -> DataFrame:
-    """Requests from the address rows, an answer to each that gives the first line in capitals, and the lines replaced."""
-    store, table = Store(t.spark, scratch(t.spark)), Lookup.of(value_sets(t))
-    data = store_datasets(store, landing(t), TAGS, "unique")
-    asked = s.address_requests(s.address_rows(data, table))
+def answers(asked: DataFrame, match: str = "V4", percent: int = 100, mark: str = "") -> DataFrame:
+    """An answer to each request: its first line in capitals."""
 
     def asked_for(name: str) -> Column:
         return F.regexp_extract("payload", f"<av:{name}>(.*?)</av:{name}>", 1)
 
     answer = F.concat(
-        F.lit("<Envelope><Body><Operation><Match_Code>V4</Match_Code><AddressLine1>"),
+        F.lit(f"<Envelope><Body><Operation><Match_Code>{match}</Match_Code><Result_Percent>{percent}</Result_Percent><AddressLine1>"),
         F.upper(asked_for("AddressLine1")),
-        F.lit("</AddressLine1><SEQ_NUM>"),
+        F.lit(f"{mark}</AddressLine1><SEQ_NUM>"),
         asked_for("SEQ_NUM"),
         F.lit("</SEQ_NUM></Operation></Body></Envelope>"),
     )
-    verified = verification_results(asked.select(answer.alias("response")), "response")
+    return verification_results(asked.select(answer.alias("response")), "response")
+
+
+@query(
+    "section_idv_src_verified",
+    f"""WITH {INDIVIDUALS}, {VSL} SELECT id AS "CUSTOMER_ID", v AS address FROM ({VERIFIED_SQL}) a""",
+)
+def _(t: Tables) -> DataFrame:
+    """Requests from the address rows, an answer to each that gives the first line in capitals, and the lines replaced."""
+    store, table = Store(t.spark, scratch(t.spark)), Lookup.of(value_sets(t))
+    data = store_datasets(store, landing(t), TAGS, "unique")
+    verified = answers(s.address_requests(s.address_rows(data, table)))
     rows = s.source_address(data, table, verified)
     return rows.select("CUSTOMER_ID", address_text().alias("address"))
 
@@ -647,6 +651,16 @@ def customer_document(t: Tables) -> DataFrame:
     return document_text(fold_values(stored_values(t)))
 
 
+@query("customer_document_verified", DOCUMENT_SQL.replace(ADDRESS_SQL, VERIFIED_SQL))
+def _(t: Tables) -> DataFrame:
+    """Documents with verified address lines; a second, worse answer to every request changes nothing."""
+    store, table = Store(t.spark, scratch(t.spark)), Lookup.of(value_sets(t))
+    data = store_datasets(store, landing(t), TAGS, "unique")
+    asked = s.address_requests(s.address_rows(data, table))
+    both = answers(asked).unionByName(answers(asked, percent=60, mark=" OR NOT")).unionByName(answers(asked, "?", 100, "?"))
+    return document_text(fold_values(store.materialize(document_values(data, table, verified=both), "partial")))
+
+
 VALUE_SQL = " UNION ALL ".join(
     [f"""SELECT id, '{n}' AS section, v FROM (SELECT DISTINCT id, inst, v FROM ({SECTION_SQL[n]}) q) d
          WHERE EXISTS (SELECT 1 FROM base WHERE base."CUSTOMER_ID" = d.id AND d.inst = 'LIVE')""" for n in ARRAYS]
