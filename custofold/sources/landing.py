@@ -52,6 +52,8 @@ def with_reason(records: DataFrame, tags: Tags) -> DataFrame:
     return records.withColumn(REASON, reason)
 
 
+#: The reason in the stage of those that nothing is wrong with: a folder's name is better no NULL.
+USABLE = "usable"
 MALFORMED, NO_TAG, UNKNOWN_TAG, NO_FLAG = "malformed line", "no tag", "unknown tag", "no event flag"
 REASONS = sorted({MALFORMED, NO_TAG, UNKNOWN_TAG, NO_FLAG, *(f"no {c}" for d in DATASETS.values() for c in d.required)})
 
@@ -105,23 +107,24 @@ def stage_load(store: Store, records: DataFrame, table: str, tags: Tags, load: s
     """
     bad = F.col(REASON).isNotNull()
     rows = with_reason(records, tags).withColumns({RECORD: F.when(bad, _whole()), KIND: F.when(~bad, _kind())})
-    rows = rows.withColumns({TAG: F.when(~bad, F.col(TAG)), LOAD: F.lit(load)}).select(*LOADED.names)
+    reason = F.coalesce(REASON, F.lit(USABLE))
+    rows = rows.withColumns({TAG: F.when(~bad, F.col(TAG)), LOAD: F.lit(load), REASON: reason}).select(*LOADED.names)
     seen = Observation(f"load {load}")
     counts = [F.count_if(F.col(REASON) == r).alias(r) for r in REASONS]
-    rows = rows.observe(seen, F.count_if(F.col(REASON).isNull()).alias("usable"), *counts)
+    rows = rows.observe(seen, F.count_if(F.col(REASON) == USABLE).alias(USABLE), *counts)
     (store.replace if again else store.append)(rows, table, LOAD_PARTS)
     found = seen.get
-    return {"": found["usable"], **{r: found[r] for r in REASONS if found[r]}}
+    return {"": found[USABLE], **{r: found[r] for r in REASONS if found[r]}}
 
 
 def staged_records(store: Store, table: str) -> DataFrame:
     """The usable records that ``stage_load`` has left in the stage."""
-    return store.read(table, LOADED).where(F.col(REASON).isNull()).select(*STAGED.names)
+    return store.read(table, LOADED).where(F.col(REASON) == USABLE).select(*STAGED.names)
 
 
 def store_rejects(store: Store, stage: str, table: str, batch: int) -> None:
     """The refused records of the stage as the rejects of a batch; storing them again replaces them."""
-    refused = store.read(stage, LOADED).where(F.col(REASON).isNotNull()).select(REASON, RECORD)
+    refused = store.read(stage, LOADED).where(F.col(REASON) != USABLE).select(REASON, RECORD)
     store.replace(refused.withColumn(BATCH, F.lit(batch)), table, [BATCH])
 
 
