@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from custofold.llm import toxicity
+from custofold.llm.common import in_fold
 
 ROWS = [(i, f"some words here {i} and there", 0) for i in range(60)] + [
     (100 + i, f"some words {w} here {i}", 1) for i, w in enumerate(["blockhead", "nitwit", "dimwitted"] * 10)
@@ -61,10 +62,15 @@ def test_kernel_by_brute_force():
             assert abs(g - (0 if w < toxicity.FLOOR else min(w, 1.0))) < 1e-5
 
 
-def test_held_out_accuracy(spark):
+def test_held_out_rows_of_each_class(spark):
+    """The contract's split: toxic documents found and clean ones left alone, so no constant answer passes."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    model = toxicity.train(docs.where("doc_id % 4 <> 2"), labels.where("doc_id % 4 <> 2"))
-    held = toxicity.score(docs.where("doc_id % 4 = 2"), model).join(labels, "doc_id")
-    right = held.where((F.col("score") >= 0.3) == (F.col("toxic") == 1)).count() / held.count()
-    assert right > 0.85
+    out = in_fold("doc_id", 4, 2)
+    model = toxicity.train(docs.where(~out), labels.where(~out))
+    held = toxicity.score(docs.where(out), model).join(labels.where("toxic IS NOT NULL"), "doc_id")
+    counts = {(r["toxic"], r["said"]): r["count"] for r in held.groupBy("toxic", (F.col("score") >= 0.3).alias("said")).count().collect()}
+    found, missed, wrong, clean = (counts.get(k, 0) for k in ((1, True), (1, False), (0, True), (0, False)))
+    assert found >= 0.5 * (found + missed) and found + missed > 5
+    assert wrong <= 0.05 * (wrong + clean) and wrong + clean > 50
+    assert found >= 0.8 * (found + wrong)
