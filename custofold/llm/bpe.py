@@ -14,8 +14,8 @@ with those of the whole text.
 Works for byte-level BPE files whose ids follow the order of merges and whose pre-tokenizer is the byte-level
 pattern (checked when loading). Special tokens in a text are recognised, as the tokenizers library does.
 
-Defined cases: null text counts as empty and has no ids. Repeated rows are encoded like any other. Other
-columns are kept; columns named ``ids`` and ``decoded`` are replaced.
+Defined cases: null text counts as empty and has no ids. Repeated rows are encoded like any other, and so are
+rows without id. Very long texts are encoded chunk by chunk. An empty table gives no rows. Other columns are kept; columns named ``ids`` and ``decoded`` are replaced.
 """
 
 from __future__ import annotations

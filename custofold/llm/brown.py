@@ -19,7 +19,8 @@ word counts, which shuffles only their share of the tokens.
 
 Defined cases: null text counts as empty, which is one end token. Rows that share ``doc_id`` and text share
 one score and are all returned. A missing id is the empty text for the fold. Other columns are left behind. With no training
-rows every token has probability one half over one half, as the formula says.
+rows every token has probability one half over one half, as the formula says. Words of equal count are ranked by
+their text, classes of equal gain by their number. A very long text is one row, scored whole. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ assistant text the number of code points to skip since the last one, and its own
 
 Defined cases: null text or role counts as empty; null turns come first; rows of equal turn are ordered by
 role and text; repeated rows are turns of their own; a null conversation id is a conversation of its own;
-columns beside the four are left behind. A conversation becomes one row, so it has to fit into one.
+columns beside the four are left behind; an empty table gives no rows. A conversation becomes one row, so it has to fit into one.
 """
 
 from __future__ import annotations

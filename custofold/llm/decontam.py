@@ -13,6 +13,8 @@ map task that reads the documents, so texts are never shuffled, whatever the siz
 Defined cases: null and empty texts overlap nothing. Items of fewer than five words are no evidence and take
 no part. Words that consist of marks only are passed over. Repeated rows are judged alike. A null ``item_id``
 is reported as null. Other columns of the documents are kept by ``mark``; ``leaks`` is replaced.
+A very long text is searched to its end. Overlaps with several items, or several in one place, are all
+reported. No documents give no rows; without items nothing overlaps.
 """
 
 from __future__ import annotations

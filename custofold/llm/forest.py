@@ -22,6 +22,8 @@ Two documents are linked if the intersection of their sets is at least ``percent
 Defined cases: null and empty texts have an empty set and are linked with nothing; with fewer words than a
 shingle has, all words are one shingle. Rows without ``doc_id`` are returned with a null component, kept and
 linked with nothing. Rows that share a ``doc_id`` are judged one by one. Other columns are left behind.
+Very long texts are compared on all their shingles. A pair that is exactly as similar as asked is linked; of equal
+copies the smallest ``doc_id`` stays. An empty table gives no rows.
 """
 
 from __future__ import annotations

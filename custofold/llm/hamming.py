@@ -21,8 +21,8 @@ Inner products of vectors of different length: every vector is scaled by the gre
 more component, so that inner product order becomes the order of angles. The greatest length is found over all
 rows. Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part, neither
 do rows without id, nor vectors whose dimension is not the most frequent one (the smaller on a tie). Rows that
-share an id are neighbours of others each by itself, never of each other. Ties go to the smaller id. Other
-columns are left behind.
+share an id are neighbours of others each by itself, never of each other. Ties go to the smaller id. An empty
+table gives no rows. Other columns are left behind.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ exactly.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is every text if nothing was
 learned. Ties go to the first language by name. Rows without language train nothing. Repeated rows train as
-often as they occur. Other columns are kept; ``lang_pred`` and ``score`` are replaced.
+often as they occur. Very long texts are scored on all their bytes. An empty table gives no rows. Other columns are kept; ``lang_pred`` and ``score`` are replaced.
 """
 
 from __future__ import annotations

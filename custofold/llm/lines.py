@@ -11,7 +11,8 @@ containers hold it. Texts never move; ``keep_lines`` applies a bitmap to its tex
 
 Defined cases: a null or empty text is one empty line. Rows that share a ``doc_id`` count as one document and
 are judged alike, each by its own lines. A row without ``doc_id`` is no document: it counts for nothing and
-keeps all its lines. Hashes have 128 bits: two of 64, one by xxhash64 of the key and one of its md5.
+keeps all its lines. Very long texts are split whole; of the documents that hold a line the largest ``doc_id``
+keeps it, all of its rows alike. An empty table gives no rows. Hashes have 128 bits: two of 64, one by xxhash64 of the key and one of its md5.
 """
 
 from __future__ import annotations

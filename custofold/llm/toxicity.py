@@ -16,7 +16,9 @@ their id. The whole text of every row is scored. Where two labels of one documen
 
 Defined cases: null text counts as empty; an empty text has no word and gets the score of a text without any
 likeness. If one of the two labels is missing in training, every score is the share of label 1. Other columns
-are kept; ``score`` is replaced.
+are kept; ``score`` is replaced. A very long text is scored whole. Landmarks of equal gain
+are ranked by length, longest first, then by their text; the sample of a label is the smallest hashes of ids, then the smallest ids.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
