@@ -4,8 +4,14 @@ Words are lower-cased A-Z and split at ASCII white space; every text ends with a
 ``vocabulary`` words are moved between ``classes`` classes by the exchange algorithm: in every round each word
 goes to the class that gives the highest likelihood of the class bigrams, the counts of all others held fixed.
 A round is one Spark job over the stored word bigrams; only the class of each vocabulary word (a bounded table)
-passes the driver. All rarer words are in ``rare`` further classes by a hash of their last two bytes; so every
-word has a class without a look-up, and unknown words have one, too. The end token is a class of its own.
+passes the driver. A round moves every ``PARTS``-th word, as words that move at once do not see each other. Rounds end when
+as many as there are parts raise the likelihood by less than ``TOLERANCE`` a token; the classes of the highest likelihood count.
+
+Every other word of the ``local`` most frequent ones that training saw at least ``evidence`` times is then
+placed into the best of the same classes, by the same likelihood, from the classes that stand beside it in all
+training texts. Words seen less often, or not at all, are in ``rare`` further classes by a hash of their last two
+bytes: so words of one occurrence stand for those that training never saw, and every word has a class. The end
+token is a class of its own. Class bigrams are counted anew under the final classes.
 
 Counts cover every training token: word counts (emission), and class bigrams (transition). The probability of a
 token is ``mix`` times transition times emission plus (1 - ``mix``) times the unigram probability, both smoothed
@@ -36,9 +42,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custofold.llm.common import documents_of, mix, stored, words_of
+from custofold.llm.common import documents_of, mix, stored, trimmed, words_of
 
-VOCABULARY, LOCAL, CLASSES, RARE, ROUNDS = 4096, 200_000, 64, 16, 6
+VOCABULARY, LOCAL, CLASSES, RARE, ROUNDS = 4096, 200_000, 64, 16, 16
+PARTS, EVIDENCE, TOLERANCE = 4, 2, 0.001
 MIX = 0.7
 END = b"\n"  # no word contains white space, so the end token cannot be a word
 MERGE_AT = 400_000
@@ -46,11 +53,11 @@ MERGE_AT = 400_000
 
 @dataclass
 class Words:
-    """The most frequent words by number; the first ``movable`` are in the classes of the exchange."""
+    """The most frequent words by number; the first ``movable`` take part in the exchange."""
 
     number: dict[bytes, int]
     movable: int
-    class_of: np.ndarray  # of the movable words
+    class_of: np.ndarray  # of all of them
     classes: int
     rare: int
 
@@ -59,8 +66,8 @@ class Words:
         return self.classes + self.rare + 1  # the last is the end token, and what stands before a text
 
     def class_of_word(self, word: bytes) -> int:
-        k = self.number.get(word, self.movable)
-        return int(self.class_of[k]) if k < self.movable else self.classes + ending(word, self.rare)
+        k = self.number.get(word)
+        return int(self.class_of[k]) if k is not None else self.classes + ending(word, self.rare)
 
     def place_of_word(self, word: bytes) -> int:
         """A number for scoring: the word's own, or one above all for the words of each rare class."""
@@ -69,8 +76,7 @@ class Words:
 
     def classes_of_places(self) -> np.ndarray:
         """The class of every number that ``place_of_word`` gives."""
-        own = [self.classes + ending(w, self.rare) for w in list(self.number)[self.movable :]]
-        return np.concatenate([self.class_of, own, self.classes + np.arange(self.rare)]).astype(np.int64)
+        return np.concatenate([self.class_of, self.classes + np.arange(self.rare)]).astype(np.int64)
 
     def number_of_word(self, word: bytes) -> int:
         """A number for bigrams: the word's own, or one for all words of its rare class."""
@@ -159,8 +165,13 @@ def bigram_width(words: Words) -> int:
     return words.movable + words.rare + 1
 
 
-def exchange_round(bigrams: DataFrame, classes: np.ndarray, movable: int, free: int, half: int) -> np.ndarray:
-    """New classes of the numbers, when every second movable word goes to the best of the ``free`` classes."""
+def exchange_round(
+    bigrams: DataFrame, classes: np.ndarray, movable: int, free: int, part: int
+) -> tuple[np.ndarray, float]:
+    """New classes of the numbers, when one part of the movable words goes to the best of the ``free`` classes.
+
+    Beside them the likelihood of the old ones.
+    """
     spark = bigrams.sparkSession
     sent = spark.sparkContext.broadcast(classes)
     numbers, width = len(classes), int(classes.max()) + 1
@@ -196,7 +207,7 @@ def exchange_round(bigrams: DataFrame, classes: np.ndarray, movable: int, free:
         matrix[r["a"], r["b"]] = r["n"]
     state = spark.sparkContext.broadcast((classes, matrix, free))
     moved = (
-        near.where((F.col("word") < movable) & (F.col("word") % 2 == half))
+        near.where((F.col("word") < movable) & (F.col("word") % PARTS == part))
         .repartition("word")
         .sortWithinPartitions("word")
         .mapInArrow(_best_classes(state), "word long, class long")
@@ -204,7 +215,27 @@ def exchange_round(bigrams: DataFrame, classes: np.ndarray, movable: int, free:
     out = classes.copy()
     for r in moved.collect():  # a row per movable word at most
         out[r["word"]] = r["class"]
-    return out
+    return out, likelihood(matrix)
+
+
+def exchanged(bigrams: DataFrame, classes: np.ndarray, movable: int, free: int, rounds: int, tokens: int) -> np.ndarray:
+    """The classes of the highest likelihood in at most ``rounds`` rounds, or until it has stopped to rise."""
+    reached: list[float] = []
+    best = classes
+    for step in range(rounds if tokens else 0):
+        new, now = exchange_round(bigrams, classes, movable, free, step % PARTS)
+        if not reached or now > max(reached):
+            best = classes
+        if len(reached) >= PARTS and now - max(reached[:-PARTS + 1]) < TOLERANCE * tokens:
+            break
+        reached.append(now)
+        classes = new
+    return best
+
+
+def likelihood(matrix: np.ndarray) -> float:
+    """Log likelihood of class bigrams, but for a part that does not depend on the classes."""
+    return float(xlogx(matrix).sum() - xlogx(matrix.sum(axis=1)).sum() - xlogx(matrix.sum(axis=0)).sum())
 
 
 def _class_of(sent):
@@ -217,7 +248,7 @@ def _class_of(sent):
     return run
 
 
-def _best_classes(sent):
+def _best_classes(sent, best_of=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, matrix, free = sent.value
         parts = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(4)] for b in batches if b.num_rows]
@@ -229,7 +260,7 @@ def _best_classes(sent):
         ends = np.searchsorted(at, np.arange(len(words) + 1))
         for k, w in enumerate(words):
             rows = slice(ends[k], ends[k + 1])
-            best[k] = best_class(classes[w], side[rows], other[rows], n[rows], matrix, free)
+            best[k] = (best_of or best_class)(classes[w], side[rows], other[rows], n[rows], matrix, free)
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best)], names=["word", "class"])
 
     return run
@@ -257,6 +288,104 @@ def best_class(own: int, side: np.ndarray, other: np.ndarray, n: np.ndarray, mat
     return int(gain.argmax())
 
 
+def best_place(own: int, side: np.ndarray, other: np.ndarray, n: np.ndarray, matrix: np.ndarray, free: int) -> int:
+    """What ``best_class`` gives for a word of a class that is not free, from the classes beside it alone."""
+    width = len(matrix)
+    after, before = np.zeros(width), np.zeros(width)
+    after[other[side == 0]] = n[side == 0]
+    before[other[side == 1]] = n[side == 1]
+    rest_after, rest_before = matrix[:free, after > 0], matrix[before > 0, :free]
+    if after[own]:
+        rest_after[:, int((after[:own] > 0).sum())] -= before[:free]
+    if before[own]:
+        rest_before[int((before[:own] > 0).sum())] -= after[:free]
+    np.maximum(rest_after, 0, out=rest_after)
+    np.maximum(rest_before, 0, out=rest_before)
+    gain = (xlogx(rest_after + after[after > 0]) - xlogx(rest_after)).sum(axis=1)
+    gain += (xlogx(rest_before + before[before > 0][:, None]) - xlogx(rest_before)).sum(axis=0)
+    for total, less, more in (
+        (matrix[:free].sum(axis=1), before, after),
+        (matrix[:, :free].sum(axis=0), after, before),
+    ):
+        total = np.maximum(total - less[:free], 0)
+        gain -= xlogx(total + more.sum()) - xlogx(total)
+    return int(gain.argmax())
+
+
+def placed(docs: DataFrame, words: Words, matrix: np.ndarray, limit: int) -> np.ndarray:
+    """The classes of the numbers, when those from ``movable`` up to ``limit`` go to the best of the free classes."""
+    spark = docs.sparkSession
+    out = words.class_of.copy()
+    if limit <= words.movable:
+        return out
+    sent = spark.sparkContext.broadcast(words)
+    width = words.all_classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        class_at = own.classes_of_places()
+        memo: dict[bytes, int] = {}
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
+
+        for batch in batches:
+            for text in words_of(batch.column("text")):
+                places = looked_up(text, memo, own.place_of_word)
+                seq = np.full(len(places) + 2, width - 1, np.int64)
+                seq[1:-1] = class_at[places]
+                at = np.flatnonzero((places >= own.movable) & (places < limit))
+                word = places[at] * (2 * width)
+                held += [word + seq[at + 2], word + width + seq[at]]
+                size += 2 * len(at)
+                if size > 4_000_000:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    near = documents_of(docs).select("text").mapInArrow(trimmed(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    word, rest = F.expr(f"code div {2 * width}"), F.col("code") % (2 * width)
+    state = spark.sparkContext.broadcast((words.class_of, matrix, words.classes))
+    moved = (
+        near.select(word.alias("word"), F.expr(f"(code % {2 * width}) div {width}").alias("side"), (rest % width).alias("class"), "n")
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(_best_classes(state, best_place), "word long, class long")
+    )
+    for r in moved.toArrow().to_batches():  # a row per number at most
+        out[r.column("word").to_numpy()] = r.column("class").to_numpy()
+    return out
+
+
+def class_bigrams(docs: DataFrame, words: Words) -> np.ndarray:
+    """Counts of class bigrams over all texts, by class before and class."""
+    width = words.all_classes
+    sent = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        class_at = own.classes_of_places()
+        memo: dict[bytes, int] = {}
+        sums = np.zeros(width * width, np.int64)
+        for batch in batches:
+            for text in words_of(batch.column("text")):
+                seq = np.full(len(text) + 2, width - 1, np.int64)
+                seq[1:-1] = class_at[looked_up(text, memo, own.place_of_word)]
+                code, n = np.unique(seq[:-1] * width + seq[1:], return_counts=True)
+                sums[code] += n
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["code", "n"])
+
+    rows = documents_of(docs).select("text").mapInArrow(trimmed(run), "code long, n long")
+    matrix = np.zeros((width, width))
+    for r in rows.groupBy("code").agg(F.sum("n").alias("n")).collect():  # classes squared rows at most
+        matrix[r["code"] // width, r["code"] % width] = r["n"]
+    return matrix
+
+
 @dataclass
 class Model:
     """What a task needs to score a text, but for the counts of words outside the vocabulary."""
@@ -275,6 +404,7 @@ def train(
     classes: int = CLASSES,
     rare: int = RARE,
     rounds: int = ROUNDS,
+    evidence: int = EVIDENCE,
 ) -> tuple[Model, DataFrame, int]:
     """The model, the table of all word counts, and the number of training tokens."""
     counts = stored(word_counts(docs))
@@ -287,26 +417,37 @@ def train(
     top_counts = top.column("n").to_numpy().astype(np.float64)
     movable = min(vocabulary, len(number))
     start = np.arange(movable) % classes
-    words = Words(number, movable, start, classes, rare)
+    others = [classes + ending(w, rare) for w in list(number)[movable:]]
+    words = Words(number, movable, np.concatenate([start, others]).astype(np.int64), classes, rare)
 
-    width, numbers = words.all_classes, bigram_width(words)
+    width = words.all_classes
     bigrams = stored(vocabulary_bigrams(docs, words))
     every = np.concatenate([start, classes + np.arange(rare), [width - 1]]).astype(np.int64)
-    for step in range(rounds if tokens else 0):
-        every = exchange_round(bigrams, every, movable, classes, step % 2)
-    words = Words(number, movable, every[:movable], classes, rare)
+    every = exchanged(bigrams, every, movable, classes, rounds, tokens)
+    words.class_of[:movable] = every[:movable]
+    words = Words(number, movable, placed(docs, words, class_matrix(bigrams, every), int((top_counts >= evidence).sum())), classes, rare)
+    matrix = class_bigrams(docs, words)
 
-    # Kinds and tokens of every class: of movable words from their table, of rare classes from all word counts.
+    # Kinds and tokens of every class: of numbered words from their table, of all others from all word counts.
     kinds_of, tokens_of = np.zeros((2, width))
     np.add.at(kinds_of, words.class_of, 1)
-    np.add.at(tokens_of, words.class_of, top_counts[:movable])
+    np.add.at(tokens_of, words.class_of, top_counts)
     kinds_of[-1], tokens_of[-1] = 1, ends
     for r in rare_classes(counts, words).collect():  # a row per rare class
-        kinds_of[r["class"]], tokens_of[r["class"]] = r["kinds"], r["n"]
-    matrix = np.zeros((width, width))
-    sent = docs.sparkSession.sparkContext.broadcast(every)
+        kinds_of[r["class"]] += r["kinds"]
+        tokens_of[r["class"]] += r["n"]
+    move = (matrix + 0.5) / (matrix.sum(axis=1, keepdims=True) + 0.5 * width)
+    base = tokens + 0.5 * (kinds + 1)
+    bracket = MIX * move / (tokens_of + 0.5 * (kinds_of + 1)) + (1 - MIX) / base
+    return Model(words, top_counts, ends, np.log10(bracket), float(np.log10(base))), counts, tokens
 
-    def to_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def class_matrix(bigrams: DataFrame, every: np.ndarray) -> np.ndarray:
+    """Counts of class bigrams from those of numbers, whose classes are given."""
+    numbers, width = len(every), int(every[-1]) + 1
+    sent = bigrams.sparkSession.sparkContext.broadcast(every)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(width * width)
         for batch in batches:
             code, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
@@ -314,17 +455,15 @@ def train(
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some].astype(np.int64))], names=["code", "n"])
 
-    moves = bigrams.mapInArrow(to_classes, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    for r in moves.collect():  # classes squared rows at most
+    rows = bigrams.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    matrix = np.zeros((width, width))
+    for r in rows.collect():  # classes squared rows at most
         matrix[r["code"] // width, r["code"] % width] = r["n"]
-    move = (matrix + 0.5) / (matrix.sum(axis=1, keepdims=True) + 0.5 * width)
-    base = tokens + 0.5 * (kinds + 1)
-    bracket = MIX * move / (tokens_of + 0.5 * (kinds_of + 1)) + (1 - MIX) / base
-    return Model(words, top_counts, ends, np.log10(bracket), float(np.log10(base))), counts, tokens
+    return matrix
 
 
 def rare_classes(counts: DataFrame, words: Words) -> DataFrame:
-    """Kinds and tokens of each rare class."""
+    """Kinds and tokens that each rare class has of words without a number."""
     sent = counts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +471,7 @@ def rare_classes(counts: DataFrame, words: Words) -> DataFrame:
         for batch in batches:
             found, kinds, tokens = [], np.zeros(own.rare, np.int64), np.zeros(own.rare, np.int64)
             for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                if w != END and own.number.get(w, own.movable) >= own.movable:
+                if w != END and w not in own.number:
                     k = ending(w, own.rare)
                     kinds[k] += 1
                     tokens[k] += n

@@ -92,3 +92,40 @@ def test_nothing_to_learn_from_and_nothing_to_score(spark):
     got = brown.score_documents(docs, F.lit(False), F.lit(True)).collect()
     assert [round(r["base_score"], 9) for r in got] == [0.0, 0.0] and all(math.isfinite(r["score"]) for r in got)
     assert brown.score_documents(docs.where("doc_id > 5"), F.lit(True), F.lit(False)).count() == 0
+
+
+def test_placing_gives_the_class_that_an_exchange_gives():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        width, free = 9, 5
+        side, other = np.divmod(np.flatnonzero(rng.random(2 * width) < 0.4), width)
+        n = rng.integers(1, 30, len(side))
+        own = int(rng.integers(free, width))
+        matrix = rng.integers(0, 50, (width, width)).astype(float)
+        matrix[own] += np.bincount(other[side == 0], n[side == 0], width)
+        matrix[:, own] += np.bincount(other[side == 1], n[side == 1], width)
+        assert brown.best_place(own, side, other, n, matrix, free) == brown.best_class(own, side, other, n, matrix, free)
+
+
+def test_words_beyond_the_exchange_are_placed_by_what_stands_beside_them(spark):
+    values = texts(200)[:200]
+    training = rows_of(spark, values)
+    model, _, _ = brown.train(training, vocabulary=20, local=80, classes=2, rounds=6)
+    left = {model.words.class_of_word(f"l{i}".encode()) for i in range(40)}
+    right = {model.words.class_of_word(f"r{i}".encode()) for i in range(40)}
+    assert len(left) == len(right) == 1 and left != right and max(left | right) < 2
+
+
+def test_words_seen_once_stay_with_those_never_seen(spark):
+    model, _, _ = brown.train(rows_of(spark, ["a b a b once", "b a b a"]), vocabulary=1, local=10, classes=2)
+    words = model.words
+    assert words.class_of_word(b"a") < 2 and words.class_of_word(b"b") < 2
+    assert words.class_of_word(b"once") == 2 + brown.ending(b"once", words.rare)
+
+
+def test_rounds_end_when_the_likelihood_stops_to_rise(spark, monkeypatch):
+    steps = []
+    once = brown.exchange_round
+    monkeypatch.setattr(brown, "exchange_round", lambda *a: steps.append(a[-1]) or once(*a))
+    brown.train(rows_of(spark, texts(60)[:60]), vocabulary=80, local=80, classes=2, rounds=40)
+    assert 3 <= len(steps) < 40
