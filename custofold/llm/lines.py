@@ -1,13 +1,17 @@
 """Line dedup: which lines of which documents stay, as compressed bitmaps.
 
 Lines whose key (white space stripped, A-Z lowered) is long enough and found in enough documents stay only in
-the largest ``doc_id`` that holds it. Only hashes travel: the (key hash, document) rows are range-partitioned
-by hash and then document, each range is sorted and streamed once, and each task sends on one row per hash
-(first occurrence in descending document order, number of documents). A hash that a third of all documents
-holds is spread over many ranges.
-
-The bitmap of a document is a list of runs of kept lines (``start``, ``length``), as run-length bitmap
-containers hold it. Texts never move; ``keep_lines`` applies a bitmap to its text.
+the largest ``doc_id`` that holds it. Only hashes travel: the (key hash, document, position) rows are
+range-partitioned by hash and one of ``SLOTS`` slots of documents, and each range is sorted by document (descending) and
+position. A window streams the sorted rows: the first of a hash and slot is its first occurrence, and the rank that
+its last row has reached is the number of its documents. One row per hash and slot goes on; the slots of a hash are
+merged by their greatest document and summed numbers. A hash that a third of all documents holds is so spread over
+many ranges.
+
+The bitmap of a document is a list of runs of kept lines (``start``, ``length``), as run-length bitmap containers
+hold it. ``keep_lines`` applies a bitmap to its text. The positions that are lost are a stored table, which has no row
+for a document that loses nothing: Spark knows its size, and sends it to the texts below
+``spark.sql.autoBroadcastJoinThreshold``. Above it documents are shuffled with their texts to meet their positions.
 
 Defined cases: a null or empty text is one empty line. Rows that share a ``doc_id`` count as one document and
 are judged alike, each by its own lines. A row without ``doc_id`` is no document: it counts for nothing and
@@ -17,12 +21,13 @@ keeps it, all of its rows alike. An empty table gives no rows. Hashes have 128 b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custofold.llm.common import documents_of, stored
 
 SPACE = " \t\n\x0b\x0c\r"
+SLOTS = 64
 RUNS = "array<struct<start:int,length:int>>"
 
 
@@ -80,20 +85,25 @@ def lost_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
         .where(F.col("doc_id").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("print"), F.inline(long_lines(F.col("text"), min_chars)))
     )
-    order = ["a", "b", F.col("doc_id").desc()]
-    ranged = held.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "pos")
-    # Each task streams its sorted range twice over: one row per hash and document, then one per hash, the
-    # first of which is the keeper. Only the latter are shuffled, so a hash in many ranges meets as few rows.
-    # They are stored, so that the join below has an exchange on either side that can be split where it is skewed.
+    # The window needs what the ranges give, so there is no other exchange and the sort stays. The keepers are
+    # stored, so that the join below has an exchange on either side that can be split where it is skewed.
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    ranged = held.select("a", "b", slot.alias("slot"), "doc_id", "pos").repartitionByRange(ranges, "a", "b", "slot")
+    stream = Window.partitionBy("a", "b", "slot").orderBy(F.desc("doc_id"), "pos")
+    ends = ranged.select(
+        "a",
+        "b",
+        F.first("doc_id").over(stream).alias("first"),
+        F.dense_rank().over(stream).alias("docs"),
+        F.lead("doc_id").over(stream).isNull().alias("last"),
+    ).where("last")
     keepers = stored(
-        ranged.groupBy("a", "b", "doc_id")
-        .agg(F.min("pos"))
-        .groupBy("a", "b")
-        .agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
+        ends.groupBy("a", "b")
+        .agg(F.max("first").alias("keeper"), F.sum("docs").alias("n"))
         .where(F.col("n") >= min_docs)
         .select("a", "b", "keeper")
     )
-    return (
+    return stored(
         held.join(keepers, ["a", "b"])
         .where("doc_id < keeper")
         .groupBy("doc_id", "print")

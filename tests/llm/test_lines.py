@@ -79,3 +79,24 @@ def test_lines_that_collide_in_one_hash(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+def test_the_sort_streams_and_texts_stay_where_they_are(spark, monkeypatch):
+    """Above the range exchange stands a sort by document and position; no exchange holds a text."""
+    plans = []
+    write = lines.stored
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(lines, "stored", noted)
+    docs = spark.createDataFrame([(i, f"the common line\nown line {i}") for i in range(50)], "doc_id long, text string")
+    made = lines.line_bitmaps(docs, 5, 3)
+    assert made.where("n_dropped > 0").count() == 49
+    ranged = plans[1]
+    window, sort, ranges = (ranged.index(x) for x in ("Window [", "Sort [a", "rangepartitioning(a"))
+    assert window < sort < ranges and "doc_id" in ranged[sort:ranges].split("\n")[0]
+    assert ranged.count("hashpartitioning(") == 1  # one row per hash and slot
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
