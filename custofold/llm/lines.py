@@ -90,13 +90,14 @@ def lost_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
     ranged = held.select("a", "b", slot.alias("slot"), "doc_id", "pos").repartitionByRange(ranges, "a", "b", "slot")
     stream = Window.partitionBy("a", "b", "slot").orderBy(F.desc("doc_id"), "pos")
-    ends = ranged.select(
-        "a",
-        "b",
-        F.first("doc_id").over(stream).alias("first"),
-        F.dense_rank().over(stream).alias("docs"),
-        F.lead("doc_id").over(stream).isNull().alias("last"),
-    ).where("last")
+    # A document counts once, however often it holds the line: ranks go by document, in the order that the sort gives.
+    by_doc = Window.partitionBy("a", "b", "slot").orderBy(F.desc("doc_id"))
+    ends = (
+        ranged.withColumn("first", F.first("doc_id").over(stream))
+        .withColumn("last", F.lead("doc_id").over(stream).isNull())
+        .withColumn("docs", F.dense_rank().over(by_doc))
+        .where("last")
+    )
     keepers = stored(
         ends.groupBy("a", "b")
         .agg(F.max("first").alias("keeper"), F.sum("docs").alias("n"))

@@ -100,3 +100,8 @@ def test_the_sort_streams_and_texts_stay_where_they_are(spark, monkeypatch):
     assert ranged.count("hashpartitioning(") == 1  # one row per hash and slot
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_a_document_counts_once_however_often_it_holds_a_line(spark):
+    check(spark, [(1, "common line\n" * 9), (2, "common line\nown line\ncommon line")], 5, 3)
+    check(spark, [(i, "common line\ncommon line") for i in range(3)], 5, 3)
