@@ -35,7 +35,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import compress
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -84,17 +84,37 @@ class Words:
         return k if k < self.movable else self.movable + ending(word, self.rare)
 
 
-def looked_up(words: list[bytes], memo: dict[bytes, int], find) -> np.ndarray:
-    """The numbers of words, each found once as long as the memo is not full."""
-    if len(memo) > 1_000_000:
-        memo.clear()
-    try:
-        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-    except KeyError:
-        for w in words:
-            if w not in memo:
-                memo[w] = find(w)
-        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+class Numbers(dict):
+    """The numbers of words, each found once as long as the memo is not full; the end token has ``end``."""
+
+    def __init__(self, find, end: int):
+        super().__init__()
+        self.find, self.end = find, end
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.end if word == END else self.find(word)
+        return number
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > 1_000_000:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+def runs_of(column: pa.Array, size: int = 100_000) -> Iterator[list[bytes]]:
+    """The tokens of many texts one after the other: an end, then the words and the end of each text.
+
+    An end stands before every text, so the bigrams of a run are those of its texts.
+    """
+    run = [END]
+    for words in words_of(column):
+        run.extend(words)
+        run.append(END)
+        if len(run) > size:
+            yield run
+            run = [END]
+    if len(run) > 1:
+        yield run
 
 
 @lru_cache(maxsize=8)
@@ -137,8 +157,7 @@ def vocabulary_bigrams(docs: DataFrame, words: Words) -> DataFrame:
     width = bigram_width(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        memo: dict[bytes, int] = {}
+        memo = Numbers(sent.value.number_of_word, width - 1)
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
@@ -146,9 +165,8 @@ def vocabulary_bigrams(docs: DataFrame, words: Words) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
 
         for batch in batches:
-            for text in words_of(batch.column("text")):
-                ids = np.full(len(text) + 2, width - 1, np.int64)
-                ids[1:-1] = looked_up(text, memo, own.number_of_word)
+            for tokens in runs_of(batch.column("text")):
+                ids = memo.of(tokens)
                 held.append(ids[:-1] * width + ids[1:])
                 size += len(ids)
                 if size > 8_000_000:
@@ -323,8 +341,8 @@ def placed(docs: DataFrame, words: Words, matrix: np.ndarray, limit: int) -> np.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        class_at = own.classes_of_places()
-        memo: dict[bytes, int] = {}
+        class_at = np.append(own.classes_of_places(), width - 1)
+        memo = Numbers(own.place_of_word, len(class_at) - 1)
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
@@ -332,13 +350,12 @@ def placed(docs: DataFrame, words: Words, matrix: np.ndarray, limit: int) -> np.
             return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
 
         for batch in batches:
-            for text in words_of(batch.column("text")):
-                places = looked_up(text, memo, own.place_of_word)
-                seq = np.full(len(places) + 2, width - 1, np.int64)
-                seq[1:-1] = class_at[places]
-                at = np.flatnonzero((places >= own.movable) & (places < limit))
+            for tokens in runs_of(batch.column("text")):
+                places = memo.of(tokens)
+                seq = class_at[places]
+                at = np.flatnonzero((places >= own.movable) & (places < limit))  # never an end
                 word = places[at] * (2 * width)
-                held += [word + seq[at + 2], word + width + seq[at]]
+                held += [word + seq[at + 1], word + width + seq[at - 1]]
                 size += 2 * len(at)
                 if size > 4_000_000:
                     yield counted()
@@ -367,15 +384,13 @@ def class_bigrams(docs: DataFrame, words: Words) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        class_at = own.classes_of_places()
-        memo: dict[bytes, int] = {}
+        class_at = np.append(own.classes_of_places(), width - 1)
+        memo = Numbers(own.place_of_word, len(class_at) - 1)
         sums = np.zeros(width * width, np.int64)
         for batch in batches:
-            for text in words_of(batch.column("text")):
-                seq = np.full(len(text) + 2, width - 1, np.int64)
-                seq[1:-1] = class_at[looked_up(text, memo, own.place_of_word)]
-                code, n = np.unique(seq[:-1] * width + seq[1:], return_counts=True)
-                sums[code] += n
+            for tokens in runs_of(batch.column("text")):
+                seq = class_at[memo.of(tokens)]
+                sums += np.bincount(seq[:-1] * width + seq[1:], minlength=width * width)
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["code", "n"])
 
@@ -490,27 +505,34 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, tokens: int, held_ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        memo: dict[bytes, int] = {}
-        known_logs = np.log10(m.counts + 0.5)
-        local = len(known_logs)
-        class_at = m.words.classes_of_places()
-        end_class = m.words.all_classes - 1
+        local = len(m.counts)
+        class_at = np.append(m.words.classes_of_places(), m.words.all_classes - 1)
+        end = len(class_at) - 1
+        memo = Numbers(m.words.place_of_word, end)
+        log_at, known_at = np.zeros(end + 1), np.zeros(end + 1, np.int64)
+        log_at[:local], log_at[end] = np.log10(m.counts + 0.5), np.log10(m.ends + 0.5)
+        known_at[:local], known_at[end] = 1, m.ends > 0
         for batch in batches:
             n_tokens, n_known, class_sum, logs = [], [], [], []
             at, rare_words, rare_counts = [], [], []
-            for row, words in enumerate(words_of(batch.column("text"))):
-                places = looked_up(words, memo, m.words.place_of_word)
-                seq = np.full(len(words) + 2, end_class, np.int64)
-                seq[1:-1] = class_at[places]
-                class_sum.append(float(m.bracket[seq[:-1], seq[1:]].sum()))
-                near = places < local
-                logs.append(float(np.log10(m.ends + 0.5) + known_logs[places[near]].sum()))
-                n_known.append(int(near.sum()) + int(m.ends > 0))
-                n_tokens.append(len(words) + 1)
-                found = Counter(compress(words, ~near))
-                rare_words.extend(found)
-                rare_counts.extend(found.values())
-                at.extend([row] * len(found))
+            for tokens in runs_of(batch.column("text")):
+                places = memo.of(tokens)
+                seq = class_at[places]
+                ends = np.flatnonzero(places == end)
+                begins = ends[:-1]  # of the bigrams of each text, and of its tokens behind the first end
+                class_sum.extend(np.add.reduceat(m.bracket[seq[:-1], seq[1:]], begins).tolist())
+                logs.extend(np.add.reduceat(log_at[places[1:]], begins).tolist())
+                n_known.extend(np.add.reduceat(known_at[places[1:]], begins).tolist())
+                far = np.flatnonzero((places >= local) & (places < end))
+                far_words = [tokens[i] for i in far.tolist()]
+                cuts = np.searchsorted(far, ends).tolist()
+                for row, (x, y) in enumerate(pairwise(cuts), len(n_tokens)):
+                    if x < y:
+                        found = Counter(far_words[x:y])
+                        rare_words.extend(found)
+                        rare_counts.extend(found.values())
+                        at.extend([row] * len(found))
+                n_tokens.extend(np.diff(ends).tolist())
             rows = batch.num_rows
             prints = batch.column("print").to_pylist()
             pick = pa.array([*range(rows), *at], pa.int32())

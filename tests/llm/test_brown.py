@@ -129,3 +129,17 @@ def test_rounds_end_when_the_likelihood_stops_to_rise(spark, monkeypatch):
     monkeypatch.setattr(brown, "exchange_round", lambda *a: steps.append(a[-1]) or once(*a))
     brown.train(rows_of(spark, texts(60)[:60]), vocabulary=80, local=80, classes=2, rounds=40)
     assert 3 <= len(steps) < 40
+
+
+def test_runs_hold_every_text_between_ends_and_words_are_found_once():
+    import pyarrow as pa
+
+    column = pa.array(["a b", "", "A c a", None, "d"]).fill_null("")
+    whole = [t for run in brown.runs_of(column, 4) for t in run[1:]]
+    assert whole == [b"a", b"b", b"\n", b"\n", b"a", b"c", b"a", b"\n", b"\n", b"d", b"\n"]
+    assert all(run[0] == run[-1] == brown.END for run in brown.runs_of(column, 4))
+    asked = []
+    memo = brown.Numbers(lambda w: asked.append(w) or len(asked), 99)
+    for run in brown.runs_of(column, 4):
+        memo.of(run)
+    assert asked == [b"a", b"b", b"c", b"d"] and memo.of([b"a", brown.END, b"d"]).tolist() == [1, 99, 4]
