@@ -7,6 +7,8 @@ A round is one Spark job over the stored word bigrams; only the class of each vo
 passes the driver. A round moves every ``PARTS``-th word, as words that move at once do not see each other. Rounds end when
 as many as there are parts raise the likelihood by less than ``TOLERANCE`` a token; the classes of the highest likelihood count.
 
+The numbers of the training tokens are stored once, and bigrams, places and class bigrams are counted from them.
+
 Every other word of the ``local`` most frequent ones that training saw at least ``evidence`` times is then
 placed into the best of the same classes, by the same likelihood, from the classes that stand beside it in all
 training texts. Words seen less often, or not at all, are in ``rare`` further classes by a hash of their last two
@@ -78,11 +80,6 @@ class Words:
         """The class of every number that ``place_of_word`` gives."""
         return np.concatenate([self.class_of, self.classes + np.arange(self.rare)]).astype(np.int64)
 
-    def number_of_word(self, word: bytes) -> int:
-        """A number for bigrams: the word's own, or one for all words of its rare class."""
-        k = self.number.get(word, self.movable)
-        return k if k < self.movable else self.movable + ending(word, self.rare)
-
 
 class Numbers(dict):
     """The numbers of words, each found once as long as the memo is not full; the end token has ``end``."""
@@ -151,32 +148,60 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def vocabulary_bigrams(docs: DataFrame, words: Words) -> DataFrame:
-    """Counts ``n`` of bigrams of numbers, as ``code`` = first * ``bigram_width`` + second."""
+def numbered(docs: DataFrame, words: Words) -> DataFrame:
+    """The numbers for scoring of all tokens, 32 bits each, packed as ``run``: an end, then the tokens and the end of each text.
+
+    Stored, as three steps of the training read them; which number a word has stays the same while classes change.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        memo = Numbers(own.place_of_word, end_place(own))
+        for batch in batches:
+            for tokens in runs_of(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array([memo.of(tokens).astype("<i4").tobytes()], pa.binary())], names=["run"])
+
+    return stored(documents_of(docs).select("text").mapInArrow(trimmed(run), "run binary"))
+
+
+def end_place(words: Words) -> int:
+    """The number of the end token for scoring, above those of all words."""
+    return len(words.number) + words.rare
+
+
+def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for run in batch.column("run"):
+            yield np.frombuffer(run.as_buffer(), "<i4").astype(np.int64)
+
+
+def vocabulary_bigrams(runs: DataFrame, words: Words) -> DataFrame:
+    """Counts ``n`` of bigrams of numbers, as ``code`` = first * ``bigram_width`` + second."""
     width = bigram_width(words)
+    # Words beyond the exchange have the number of their rare class, which is their class before they are placed.
+    number_at = np.concatenate([words.classes_of_places() - words.classes + words.movable, [width - 1]])
+    number_at[: words.movable] = np.arange(words.movable)
+    sent = runs.sparkSession.sparkContext.broadcast(number_at)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Numbers(sent.value.number_of_word, width - 1)
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
             code, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
 
-        for batch in batches:
-            for tokens in runs_of(batch.column("text")):
-                ids = memo.of(tokens)
-                held.append(ids[:-1] * width + ids[1:])
-                size += len(ids)
-                if size > 8_000_000:
-                    yield counted()
-                    held, size = [], 0
+        for places in places_of(batches):
+            ids = sent.value[places]
+            held.append(ids[:-1] * width + ids[1:])
+            size += len(ids)
+            if size > 8_000_000:
+                yield counted()
+                held, size = [], 0
         if held:
             yield counted()
 
-    rows = documents_of(docs).select("text").mapInArrow(run, "code long, n long")
-    return rows.groupBy("code").agg(F.sum("n").alias("n"))
+    return runs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def bigram_width(words: Words) -> int:
@@ -330,40 +355,36 @@ def best_place(own: int, side: np.ndarray, other: np.ndarray, n: np.ndarray, mat
     return int(gain.argmax())
 
 
-def placed(docs: DataFrame, words: Words, matrix: np.ndarray, limit: int) -> np.ndarray:
+def placed(runs: DataFrame, words: Words, matrix: np.ndarray, limit: int) -> np.ndarray:
     """The classes of the numbers, when those from ``movable`` up to ``limit`` go to the best of the free classes."""
-    spark = docs.sparkSession
+    spark = runs.sparkSession
     out = words.class_of.copy()
     if limit <= words.movable:
         return out
-    sent = spark.sparkContext.broadcast(words)
-    width = words.all_classes
+    width, movable = words.all_classes, words.movable
+    sent = spark.sparkContext.broadcast(np.append(words.classes_of_places(), width - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        class_at = np.append(own.classes_of_places(), width - 1)
-        memo = Numbers(own.place_of_word, len(class_at) - 1)
+        class_at = sent.value
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
             code, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
 
-        for batch in batches:
-            for tokens in runs_of(batch.column("text")):
-                places = memo.of(tokens)
-                seq = class_at[places]
-                at = np.flatnonzero((places >= own.movable) & (places < limit))  # never an end
-                word = places[at] * (2 * width)
-                held += [word + seq[at + 1], word + width + seq[at - 1]]
-                size += 2 * len(at)
-                if size > 4_000_000:
-                    yield counted()
-                    held, size = [], 0
+        for places in places_of(batches):
+            seq = class_at[places]
+            at = np.flatnonzero((places >= movable) & (places < limit))  # never an end
+            word = places[at] * (2 * width)
+            held += [word + seq[at + 1], word + width + seq[at - 1]]
+            size += 2 * len(at)
+            if size > 4_000_000:
+                yield counted()
+                held, size = [], 0
         if held:
             yield counted()
 
-    near = documents_of(docs).select("text").mapInArrow(trimmed(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    near = runs.mapInArrow(trimmed(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     word, rest = F.expr(f"code div {2 * width}"), F.col("code") % (2 * width)
     state = spark.sparkContext.broadcast((words.class_of, matrix, words.classes))
     moved = (
@@ -377,24 +398,20 @@ def placed(docs: DataFrame, words: Words, matrix: np.ndarray, limit: int) -> np.
     return out
 
 
-def class_bigrams(docs: DataFrame, words: Words) -> np.ndarray:
+def class_bigrams(runs: DataFrame, words: Words) -> np.ndarray:
     """Counts of class bigrams over all texts, by class before and class."""
     width = words.all_classes
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    sent = runs.sparkSession.sparkContext.broadcast(np.append(words.classes_of_places(), width - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        class_at = np.append(own.classes_of_places(), width - 1)
-        memo = Numbers(own.place_of_word, len(class_at) - 1)
         sums = np.zeros(width * width, np.int64)
-        for batch in batches:
-            for tokens in runs_of(batch.column("text")):
-                seq = class_at[memo.of(tokens)]
-                sums += np.bincount(seq[:-1] * width + seq[1:], minlength=width * width)
+        for places in places_of(batches):
+            seq = sent.value[places]
+            sums += np.bincount(seq[:-1] * width + seq[1:], minlength=width * width)
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["code", "n"])
 
-    rows = documents_of(docs).select("text").mapInArrow(trimmed(run), "code long, n long")
+    rows = runs.mapInArrow(trimmed(run), "code long, n long")
     matrix = np.zeros((width, width))
     for r in rows.groupBy("code").agg(F.sum("n").alias("n")).collect():  # classes squared rows at most
         matrix[r["code"] // width, r["code"] % width] = r["n"]
@@ -436,12 +453,13 @@ def train(
     words = Words(number, movable, np.concatenate([start, others]).astype(np.int64), classes, rare)
 
     width = words.all_classes
-    bigrams = stored(vocabulary_bigrams(docs, words))
+    runs = numbered(docs, words)
+    bigrams = stored(vocabulary_bigrams(runs, words))
     every = np.concatenate([start, classes + np.arange(rare), [width - 1]]).astype(np.int64)
     every = exchanged(bigrams, every, movable, classes, rounds, tokens)
     words.class_of[:movable] = every[:movable]
-    words = Words(number, movable, placed(docs, words, class_matrix(bigrams, every), int((top_counts >= evidence).sum())), classes, rare)
-    matrix = class_bigrams(docs, words)
+    words = Words(number, movable, placed(runs, words, class_matrix(bigrams, every), int((top_counts >= evidence).sum())), classes, rare)
+    matrix = class_bigrams(runs, words)
 
     # Kinds and tokens of every class: of numbered words from their table, of all others from all word counts.
     kinds_of, tokens_of = np.zeros((2, width))

@@ -143,3 +143,21 @@ def test_runs_hold_every_text_between_ends_and_words_are_found_once():
     for run in brown.runs_of(column, 4):
         memo.of(run)
     assert asked == [b"a", b"b", b"c", b"d"] and memo.of([b"a", brown.END, b"d"]).tolist() == [1, 99, 4]
+
+
+def test_training_splits_its_texts_twice_and_counts_from_stored_numbers(spark):
+    """Once to count words and once to number them; the numbers give the bigrams of all steps."""
+    values = [t or "" for t in texts(20)]
+    words = brown.Words({b"l1": 0, b"r1": 1, b"l2": 2}, 2, np.array([0, 1, 2 + brown.ending(b"l2", 3)]), 2, 3)
+    runs = brown.numbered(rows_of(spark, values), words)
+    assert runs.columns == ["run"]
+    tokens = [[b"\n", *t.encode().lower().split(), b"\n"] for t in values]
+    place = {b"\n": 6, **{w: words.place_of_word(w) for ws in tokens for w in ws if w != b"\n"}}
+    number = {w: 5 if w == b"\n" else p if p < 2 else 2 + brown.ending(w, 3) for w, p in place.items()}
+    pairs = Counter((number[a], number[b]) for ws in tokens for a, b in zip(ws, ws[1:], strict=False))
+    got = {divmod(r["code"], 6): r["n"] for r in brown.vocabulary_bigrams(runs, words).collect()}
+    assert got == pairs
+    class_of = {w: 5 if w == b"\n" else words.class_of_word(w) for w in place}
+    pairs = Counter((class_of[a], class_of[b]) for ws in tokens for a, b in zip(ws, ws[1:], strict=False))
+    matrix = brown.class_bigrams(runs, words)
+    assert {(a, b): matrix[a, b] for a, b in zip(*np.nonzero(matrix), strict=True)} == pairs
