@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from custofold.operators import assemble, attach, collect_subdocs, fold_documents, place, stack_values
@@ -105,3 +106,29 @@ def test_documents_take_one_shuffle(spark, tmp_path):
     stack_values(base, {"v": two}, ["k"]).write.parquet(path)
     docs = fold_documents(spark.read.parquet(path), ["k"])
     assert docs._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_parts_take_one_shuffle(spark, tmp_path):
+    """Values of keys that are split into parts are dealt to tasks once, also where a later step goes by the first key."""
+    base = spark.createDataFrame([(f"k{i}", "s", i) for i in range(30)], "k string, s string, n int")
+    rows = spark.createDataFrame([(f"k{i}", "s", f"v{j}") for i in range(30) for j in [*range(i), 0]], "k string, s string, v string")
+    path = str(tmp_path / "values")
+    stack_values(base, {"v": rows}, ["k", "s"]).write.parquet(path)
+    docs = fold_documents(spark.read.parquet(path), ["k", "s"], max_items=4, by=["k"])
+    last = docs.withColumn("last", F.max(PART).over(Window.partitionBy("k")))
+    assert last._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = defaultdict(list)
+    for r in last.collect():
+        got[r.k] += r.v or []
+        assert r.n == int(r.k[1:]) and r.last == -(-(max(r.n, 1) + 1) // 4) - 1  # the base counts, copies do not
+    assert {k: sorted(v) for k, v in got.items()} == {f"k{i}": sorted(f"v{j}" for j in range(max(i, 1))) for i in range(30)}
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_bytes": 0}])
+def test_keys_too_large_for_a_task_get_the_same_parts(spark, bounds):
+    df = spark.createDataFrame([*hot_rows(), (None, "x"), (None, "y")], "k string, v string")
+    anchor = F.col("v").isin("v0", "same")
+    for marks in (None, anchor):
+        own = sorted(map(tuple, place(df, ["k"], 50, marks).distinct().fillna("").collect()))
+        split = sorted(map(tuple, place(df, ["k"], 50, marks, block_rows=100, **bounds).distinct().fillna("").collect()))
+        assert own == split and {r[2] for r in own if r[0] == "h"} == set(range(8))
