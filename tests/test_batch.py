@@ -1,10 +1,12 @@
 """Runs that are repeated, fed by a stream of files, or given verified addresses."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.documents import write_landing
 from custofold.errors import NoRecords
 from custofold.operators import Lookup, best_answers
 from custofold.plans import BatchConfig, batch, documents, run
@@ -136,6 +138,24 @@ def test_replace_leaves_other_partitions(spark, store):
     assert sorted(map(tuple, store.read("t").select("id", "b").collect())) == [(4, 1), (5, 1), (6, 0)]
 
 
+# ------------------------------------------------------------------ what lies on the disk meanwhile
+
+
+def files(folder, table):
+    return [f for f in Path(folder).glob(f"{table}*/**/*.parquet")]
+
+
+def test_landing_files_are_packed_and_bounded(spark, store, tmp_path):
+    records = [record("individual", CUSTOMER_ID=str(i), PLACE_OF_BIRTH="a town of some length") for i in range(3000)]
+    rows = spark.createDataFrame([tuple(r.get(f) for f in LANDING.names) for r in records], LANDING).coalesce(1)
+    write_landing(rows, str(tmp_path / "in"), 1000)
+    written = [f for f in (tmp_path / "in").iterdir() if f.name.startswith("part")]
+    assert len(written) == 3 and sum(f.stat().st_size for f in written) < 3000 * 20  # some 200 bytes a record as text
+    assert stage_load(store, read_records(spark, str(tmp_path / "in")), "stage", Tags(), "x") == {"": 3000}
+    assert sorted(staged(store)) == sorted(r["CUSTOMER_ID"] for r in records)
+    assert all(f.name.endswith(".zstd.parquet") for f in files(tmp_path / "tables", "stage"))
+
+
 # ------------------------------------------------------------------ one parse, counts on the way
 
 
