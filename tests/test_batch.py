@@ -1,6 +1,7 @@
 """Runs that are repeated, fed by a stream of files, or given verified addresses."""
 
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 from checks.documents import write_landing
 from custofold.errors import NoRecords
 from custofold.operators import Lookup, best_answers
-from custofold.plans import BatchConfig, batch, documents, run
+from custofold.plans import BatchConfig, batch, documents, fold_values, run
 from custofold.plans.sections.address import address_requests, address_rows
 from custofold.schemas import BATCH, LANDING, LOOKUP, VERIFIED, Tags
 from custofold.sources import Store, stage_load, staged_records
 from custofold.sources.landing import read_records
+from custofold.sources.store import CLEANUP
 from custofold.streaming import stage_new_files, staging
 from tests.helpers import VALUE_SETS, data_of, record, value_sets
 
@@ -156,6 +158,40 @@ def test_landing_files_are_packed_and_bounded(spark, store, tmp_path):
     assert all(f.name.endswith(".zstd.parquet") for f in files(tmp_path / "tables", "stage"))
 
 
+def test_no_dataset_is_left_when_documents_are_folded(spark, store, tmp_path, monkeypatch):
+    records = people("1", "2") + [record("gurn", CUSTOMER_ID="1", GURN="7")]
+    left = {}
+
+    def folds(values, *more):
+        left.update({n: store.read(f"unique_{n}").count() for n in batch.SHARED} | {"partial": values.count()})
+        return fold_values(values, *more)
+
+    monkeypatch.setattr(batch, "fold_values", folds)
+    docs = run(spark, BatchConfig(write_json(tmp_path / "in", "1.json", records)), store)
+    assert left.pop("partial") > 2 and set(left.values()) == {0}
+    assert sorted((r.CUSTOMER_ID, tuple(r.GURN or ())) for r in docs.collect()) == [("1", ("7",)), ("2", ())]
+
+
+def test_shuffles_of_a_stored_step_are_removed(spark, store, tmp_path):
+    def shuffled():  # not those of the few bytes of the table's log
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        found = [found.apply(i) for i in range(found.size())]
+        return {f.getName() for f in found if f.getName().endswith(".data") and f.length() > 2000}
+
+    rows = spark.range(20_000).selectExpr("id % 7 AS k", "id").repartition(3, "k")
+    before = shuffled()
+    rows.write.format("noop").mode("overwrite").save()
+    assert shuffled() - before  # a write of another kind leaves them
+    before |= shuffled()
+    store.materialize(rows, "t")
+    for _ in range(50):
+        if not (kept := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not kept and spark.conf.get(CLEANUP, "false") == "false"
+    assert store.read("t").count() == 20_000
+
+
 # ------------------------------------------------------------------ one parse, counts on the way
 
 
